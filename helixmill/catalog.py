@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from .plans import contacts, tracks  # noqa: F401  tracks adds to the same tables
+
+QUERIES = contacts.QUERIES
+ORACLES = contacts.ORACLES
 FLAGSHIP = "pip03_universe"
