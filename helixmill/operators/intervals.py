@@ -91,7 +91,7 @@ def nearest(points: DataFrame, features: DataFrame, key: list[str]) -> DataFrame
     f = F.when(F.col("fp").isNotNull(), F.struct("fp", "fn"))
     seen = both.withColumn("a", F.last(f, True).over(up)).withColumn("b", F.first(f, True).over(down)).where("fp is null")
     gap = lambda c: F.when(F.col(f"{c}.fp") < F.col("s"), F.col("s") - F.col(f"{c}.fp")).when(F.col(f"{c}.fp") >= F.col("e"), F.col(f"{c}.fp") - F.col("e") + 1).otherwise(0)
-    best = F.when(F.col("a").isNull() | (gap("b") < gap("a")), F.struct(F.col("b.fn").alias("name"), gap("b").alias("distance"))).otherwise(F.struct(F.col("a.fn").alias("name"), gap("a").alias("distance")))
+    best = F.when(F.col("b").isNotNull() & (F.col("a").isNull() | (gap("b") < gap("a"))), F.struct(F.col("b.fn").alias("name"), gap("b").alias("distance"))).otherwise(F.struct(F.col("a.fn").alias("name"), gap("a").alias("distance")))
     chosen = F.when(F.col("a").isNull() & F.col("b").isNull(), F.lit(None)).otherwise(best)
     return seen.withColumn("n", chosen).select(*own, "chrom", "s", "e", F.col("n.name").alias("name"), F.col("n.distance").cast("long").alias("distance"))
 
