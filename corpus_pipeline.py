@@ -17,10 +17,11 @@ ORACLE_SQL = None
 
 
 def _one_row_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is among ids; of rows that share an id one stays."""
-    kept = docs.join(ids, "doc_id", "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    """The rows of docs whose doc_id is among ids; of rows that share an id one stays, of rows without an id all."""
+    named, nameless = docs.where("doc_id is not null"), docs.where("doc_id is null")
+    kept = named.join(ids, "doc_id", "left_semi")
+    repeated = named.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return (kept.dropDuplicates(["doc_id"]) if repeated else kept).unionByName(nameless)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

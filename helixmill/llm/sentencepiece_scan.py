@@ -214,33 +214,35 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     small = base.where(~giant).mapInArrow(whole, f"id {kind}, text_sha256 string, ids array<int>")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "sha", "copies", "chunk", "s", "base", "lo", "hi", "end"]
+        names = ["key", "id", "sha", "copies", "chunk", "s", "base", "lo", "hi", "end"]
         for batch in batches:
             for row in batch.to_pylist():
                 s, reach = normalise(row["t"]), get().longest
                 for c, lo in enumerate(range(0, len(s), chunk_chars)):
                     hi, at = min(len(s), lo + chunk_chars), max(0, lo - reach)
-                    part = [row["id"], row["sha"], row["copies"], c, s[at : hi + reach], at, lo, hi, len(s)]
-                    yield pa.RecordBatch.from_arrays([pa.array([v], batch.column(0).type if k == 0 else None) for k, v in enumerate(part)], names)
+                    part = [row["key"], row["id"], row["sha"], row["copies"], c, s[at : hi + reach], at, lo, hi, len(s)]
+                    yield pa.RecordBatch.from_arrays([pa.array([v], batch.column(1).type if k == 1 else None) for k, v in enumerate(part)], names)
 
-    shape = f"id {kind}, sha string, copies long, chunk long, s string, base long, lo long, hi long, end long"
-    chunks = base.where(giant).groupBy("id", "sha").agg(F.first("t").alias("t"), F.count("*").alias("copies")).mapInArrow(cut, shape).repartition("id", "sha", "chunk")
+    shape = f"key string, id {kind}, sha string, copies long, chunk long, s string, base long, lo long, hi long, end long"
+    key = F.concat("sha", F.coalesce(F.concat(F.lit(":"), F.col("id").cast("string")), F.lit("")))  # never null, so null ids join too
+    texts = base.where(giant).groupBy(key.alias("key")).agg(F.first("id").alias("id"), F.first("sha").alias("sha"), F.first("t").alias("t"), F.count("*").alias("copies"))
+    chunks = texts.mapInArrow(cut, shape).repartition("key", "chunk")
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = pa.struct([("rows", pa.int32()), ("cols", pa.int32()), ("cells", pa.list_(pa.float64()))])
         for batch in batches:
             m = [_pack(get().matrix(r["s"], r["base"], r["lo"], r["hi"], r["end"])) for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sha"), batch.column("chunk"), pa.array(m, cells)], ["id", "sha", "chunk", "m"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("chunk"), pa.array(m, cells)], ["key", "chunk", "m"])
 
     packed = "m struct<rows:int,cols:int,cells:array<double>>"
-    local = chunks.mapInArrow(matrices, f"id {kind}, sha string, chunk long, {packed}").withColumn("part", F.floor(F.col("chunk") / GROUP_CHUNKS))
+    local = chunks.mapInArrow(matrices, f"key string, chunk long, {packed}").withColumn("part", F.floor(F.col("chunk") / GROUP_CHUNKS))
     unpack = lambda m: np.array(m["cells"], float).reshape(m["rows"], m["cols"])
 
     def product(df: pd.DataFrame) -> pd.DataFrame:
         df, m = df.sort_values("chunk"), None
         for x in df["m"]:
             m = unpack(x) if m is None else times(m, unpack(x))
-        return pd.DataFrame({"id": [df["id"].iat[0]], "sha": [df["sha"].iat[0]], "part": [df["part"].iat[0]], "m": [_pack(m)]})
+        return pd.DataFrame({"key": [df["key"].iat[0]], "part": [df["part"].iat[0]], "m": [_pack(m)]})
 
     def states(ms: list[np.ndarray], entry: int, exit_: int | None) -> list[int]:
         """The state before each matrix and after the last, on the best way from entry to exit."""
@@ -255,24 +257,24 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     def over_parts(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values("part")
         at = states([unpack(m) for m in df["m"]], 0, None)
-        return pd.DataFrame({"id": df["id"], "sha": df["sha"], "part": df["part"], "a": at[:-1], "b": at[1:]})
+        return pd.DataFrame({"key": df["key"], "part": df["part"], "a": at[:-1], "b": at[1:]})
 
     def over_chunks(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values("chunk")
         at = states([unpack(m) for m in df["m"]], int(df["a"].iat[0]), int(df["b"].iat[0]))
-        return pd.DataFrame({"id": df["id"], "sha": df["sha"], "chunk": df["chunk"], "entry": at[:-1], "exit": at[1:]})
+        return pd.DataFrame({"key": df["key"], "chunk": df["chunk"], "entry": at[:-1], "exit": at[1:]})
 
-    parts = local.groupBy("id", "sha", "part").applyInPandas(product, f"id {kind}, sha string, part long, {packed}")
-    ends = parts.groupBy("id", "sha").applyInPandas(over_parts, f"id {kind}, sha string, part long, a int, b int")
-    ways = local.join(ends, ["id", "sha", "part"]).groupBy("id", "sha", "part").applyInPandas(over_chunks, f"id {kind}, sha string, chunk long, entry int, exit int")
+    parts = local.groupBy("key", "part").applyInPandas(product, f"key string, part long, {packed}")
+    ends = parts.groupBy("key").applyInPandas(over_parts, "key string, part long, a int, b int")
+    ways = local.join(ends, ["key", "part"]).groupBy("key", "part").applyInPandas(over_chunks, "key string, chunk long, entry int, exit int")
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = [get().backtrace(r["s"], r["base"], r["lo"], r["hi"], r["end"], r["entry"], r["exit"]) for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sha"), batch.column("copies"), batch.column("chunk"), pa.array(ids, pa.list_(pa.int32()))], ["id", "sha", "copies", "chunk", "ids"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("key", "id", "sha", "copies", "chunk")), pa.array(ids, pa.list_(pa.int32()))], ["key", "id", "sha", "copies", "chunk", "ids"])
 
-    traced = chunks.join(ways, ["id", "sha", "chunk"]).mapInArrow(back, f"id {kind}, sha string, copies long, chunk long, ids array<int>")
-    joined = traced.groupBy("id", "sha", "copies").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("c"))
+    traced = chunks.join(ways, ["key", "chunk"]).mapInArrow(back, f"key string, id {kind}, sha string, copies long, chunk long, ids array<int>")
+    joined = traced.groupBy("key").agg(F.first("id").alias("id"), F.first("sha").alias("sha"), F.first("copies").alias("copies"), F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("c"))
     large = joined.select("id", F.col("sha").alias("text_sha256"), F.flatten(F.col("c.ids")).alias("ids"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
     return small.unionByName(large).withColumnRenamed("id", id_col)
 

@@ -168,7 +168,7 @@ def test_scan_equals_library(model):
 def test_encode_and_decode(spark, model):
     m = sps.PieceModel(model)
     long = " ".join(f"the{k} ending\n" for k in range(900)) + "y" * 500
-    rows = [*AWKWARD[:8], (9, long), (9, long), (10, "z" + " " * 700 + "\U0001f600")]
+    rows = [*AWKWARD[:8], (9, long), (9, long), (None, long + "!"), (None, long + "!"), (10, "z" + " " * 700 + "\U0001f600")]
     got = sps.sp_decode(sps.sp_encode(docs(spark, rows), model, chunk_chars=257), model).collect()
     assert len(got) == len(rows)
     want = {hashlib.sha256((t or "").encode()).hexdigest(): (m.sp.encode(t or ""), t or "") for _, t in rows}
@@ -299,8 +299,10 @@ def test_pipeline(spark, tmp_path):
     clean = [(i, f"doc number {i} " + " ".join(f"v{i}_{k}" for k in range(50))) for i in range(60)]
     rows = [*clean, (100, clean[0][1].upper()), (101, clean[1][1] + " end"), (102, f"intro {item} outro"), (103, "junk $$$ %%% ### " * 30)]
     rows += [(200 + i, f"junk{i} $$$ %%% ### " * 30) for i in range(30)]
-    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    nameless = [(None, "no id here " + " ".join(f"w{n}_{k}" for k in range(50))) for n in range(2)]
+    docs(spark, [*rows, *nameless]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(i, int(i < 200 and i != 103), 0) for i, _ in rows], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     out = cp.run(spark, str(tmp_path)).collect()
-    assert {r["doc_id"] for r in out} == {i for i, _ in clean[1:]} | {100} and all(r["round_trip"] for r in out)
+    assert {r["doc_id"] for r in out} == {i for i, _ in clean[1:]} | {100, None} and all(r["round_trip"] for r in out)
+    assert sum(r["doc_id"] is None for r in out) == 2
