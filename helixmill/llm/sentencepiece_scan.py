@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 CHUNK_CHARS = 16_384
 #: Chunks whose matrices one task combines.
 GROUP_CHUNKS = 64
+#: Texts or chunks whose ids are Python numbers at a time.
+SLICE = 128
 SPACE = "▁"
 NEVER = -np.inf
 
@@ -49,7 +51,7 @@ class PieceModel:
             self.text[i] = p.replace(SPACE, " ").encode()
         for b, i in self.byte.items():
             self.text[i] = bytes([b])
-        self.agree = lru_cache(1 << 18)(self._agree)
+        self.agree = lru_cache(1 << 16)(self._agree)
         self.sound = lru_cache(1 << 16)(self._sound)
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("a piece holds a space after another character")
@@ -182,9 +184,19 @@ def _pack(m: np.ndarray) -> dict:
     return {"rows": m.shape[0], "cols": m.shape[1], "cells": m.ravel().tolist()}
 
 
+@lru_cache(1)
+def piece_model(model: bytes) -> PieceModel:
+    """One for each Python worker, whatever the number of its tasks."""
+    return PieceModel(model)
+
+
 def _load(model):
-    found: list[PieceModel] = []
-    return lambda: (found or found.append(PieceModel(model.value)) or found)[0]
+    return lambda: piece_model(model.value)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one: of a batch of long texts only one is a Python object at a time."""
+    return (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows))
 
 
 def normalise(text: str) -> str:
@@ -206,8 +218,8 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
                 ids = [get().encode(t) for t in part.column("t").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("sha"), pa.array(ids, pa.list_(pa.int32()))], ["id", "text_sha256", "ids"])
 
@@ -216,7 +228,7 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["key", "id", "sha", "copies", "chunk", "s", "base", "lo", "hi", "end"]
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _rows(batch):
                 s, reach = normalise(row["t"]), get().longest
                 for c, lo in enumerate(range(0, len(s), chunk_chars)):
                     hi, at = min(len(s), lo + chunk_chars), max(0, lo - reach)
@@ -231,7 +243,7 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = pa.struct([("rows", pa.int32()), ("cols", pa.int32()), ("cells", pa.list_(pa.float64()))])
         for batch in batches:
-            m = [_pack(get().matrix(r["s"], r["base"], r["lo"], r["hi"], r["end"])) for r in batch.to_pylist()]
+            m = [_pack(get().matrix(r["s"], r["base"], r["lo"], r["hi"], r["end"])) for r in _rows(batch)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("chunk"), pa.array(m, cells)], ["key", "chunk", "m"])
 
     packed = "m struct<rows:int,cols:int,cells:array<double>>"
@@ -270,8 +282,10 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [get().backtrace(r["s"], r["base"], r["lo"], r["hi"], r["end"], r["entry"], r["exit"]) for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("key", "id", "sha", "copies", "chunk")), pa.array(ids, pa.list_(pa.int32()))], ["key", "id", "sha", "copies", "chunk", "ids"])
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                ids = [get().backtrace(r["s"], r["base"], r["lo"], r["hi"], r["end"], r["entry"], r["exit"]) for r in _rows(part)]
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in ("key", "id", "sha", "copies", "chunk")), pa.array(ids, pa.list_(pa.int32()))], ["key", "id", "sha", "copies", "chunk", "ids"])
 
     traced = chunks.join(ways, ["key", "chunk"]).mapInArrow(back, f"key string, id {kind}, sha string, copies long, chunk long, ids array<int>")
     joined = traced.groupBy("key").agg(F.first("id").alias("id"), F.first("sha").alias("sha"), F.first("copies").alias("copies"), F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("c"))
@@ -286,7 +300,7 @@ def sp_decode(tokens: DataFrame, model: bytes) -> DataFrame:
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for ids in batches:
-            yield pa.array([get().decode(x or []) for x in ids.to_pylist()], pa.string())
+            yield pa.array((get().decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in ids), pa.string())
 
     return tokens.withColumn("decoded", decode("ids"))
 
