@@ -119,6 +119,29 @@ def short_label(text: Column, longest: int = 24) -> Column:
     return F.when(F.length(plain) > longest, F.concat(F.substring(plain, 1, longest - 1), F.lit("…"))).otherwise(plain)
 
 
+def sample_label(text: Column) -> Column:
+    """A sample's name for axes: marks without their histone, replicates as r1, blanks for underscores."""
+    plain = F.regexp_replace(text, "H3(K27ac|K4me3|K4me1|K27me3)", "$1")
+    return F.regexp_replace(F.regexp_replace(plain, "_rep", " r"), "_", " ")
+
+
+def interval(estimate: Column, error: Column) -> Column:
+    """Wald interval of 95%."""
+    return F.struct((estimate - 1.96 * error).alias("low"), (estimate + 1.96 * error).alias("high"))
+
+
+def evidence(padj: Column) -> Column:
+    """-log10 of an adjusted p-value; zero counts as the smallest positive double."""
+    return -F.log10(F.greatest(padj, F.lit(5e-324)))
+
+
+def path_sample(path: Column, suffix: str) -> Column:
+    """(sample by the file's name, by its folder): the name without the suffix, null if it hasn't that suffix."""
+    name = F.element_at(F.split(path, "/"), -1)
+    folder = F.try_element_at(F.split(path, "/"), F.lit(-2))
+    return F.struct(F.when(name.endswith(suffix), F.substring(name, F.lit(1), F.length(name) - len(suffix))).alias("by_name"), folder.alias("by_folder"))
+
+
 # Statuses of several values; never plain booleans.
 
 

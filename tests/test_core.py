@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from helixmill import catalog
 from helixmill.functions import coords as fn
-from helixmill.operators import aggregate_peaks, contracts, differential, graph, intervals, matching, matrix, universe
+from helixmill.operators import aggregate_peaks, contracts, differential, graph, intervals, matching, matrix, reporting, universe
 from helixmill.sources import readers, sinks
 
 
@@ -228,3 +228,43 @@ def test_readers_and_sinks(spark, tmp_path):
 
 def test_catalog():
     assert catalog.FLAGSHIP in catalog.QUERIES and set(catalog.ORACLES) <= set(catalog.QUERIES)
+
+
+def test_report_rules(spark):
+    row = lambda **x: spark.createDataFrame([x])
+    design = spark.createDataFrame([("a", "p1", "case"), ("b", "p2", "case"), ("c", "p1", "control")], "sample string, subject_id string, arm string")
+    assert [r.sample for r in reporting.select_samples(design, {"arm": "case"}, ["p1"]).collect()] == ["a"]
+    with pytest.raises(contracts.ContractError):
+        reporting.select_samples(design, {"tissue": "x"})
+    gate = row(a="3", b="x", c="nan").select(*(reporting.fails(F.col(c), least=5).alias(c) for c in "abc")).first()
+    assert tuple(gate) == (True, False, False)
+    with pytest.raises(contracts.ContractError):
+        reporting.fails(F.col("a"), least=1, most=2)
+    arcs = spark.createDataFrame([("chr1", 0, 10, "chr1", 90, 100), ("chr1", 30, 40, "chr1", 90, 100), ("chr2", 30, 40, "chr2", 50, 60), ("chr1", 0, 10, "chr1", 10, 20)], "chrom1 string, start1 long, end1 long, chrom2 string, start2 long, end2 long")
+    assert [r.start1 for r in reporting.view_arcs(arcs, "chr1", 20, 80).collect()] == [30]
+    stripes = spark.createDataFrame([("a", 1500), ("a", 2500)], "sample string, length long")
+    got = [tuple(r) for r in reporting.stripe_summary(design.select("sample", F.col("arm").alias("mark")), stripes, 5000).select("sample", "n_stripes", "median_length_kb", "max_length_kb").collect()]
+    assert got == [("a", 2, 2.0, 2.5), ("b", 0, 0.0, 0.0), ("c", 0, 0.0, 0.0)]
+    with pytest.raises(contracts.ContractError):
+        reporting.stripe_summary(design, spark.createDataFrame([("a", 0)], "sample string, length long"), 5000)
+
+
+def test_assembled_tables(spark):
+    long = spark.createDataFrame([("k", "x", 1), ("k", "y", 2)], "key string, sample string, score long")
+    assert tuple(reporting.aligned(long, ["key"], ["x", "y"]).first()) == ("k", 1, 2)
+    with pytest.raises(contracts.ContractError):
+        reporting.aligned(long, ["key"], ["x", "y", "z"])
+    with pytest.raises(contracts.ContractError):
+        reporting.aligned(long.union(long), ["key"], ["x", "y"])
+    ids = long.select("sample")
+    assert reporting.library_table(ids, long.select("sample", "score")).count() == 2
+    with pytest.raises(contracts.ContractError):
+        reporting.library_table(ids, long.where("sample = 'x'").select("sample", "score"))
+    track = spark.createDataFrame([("c", 0, 5, "1"), ("c", 5, 5, "1"), ("c", 5, 9, "inf"), ("c", 5, 9, "x"), ("c", 5, 9, None)], "chrom string, s long, e long, value string")
+    assert reporting.clean_track(track).count() == 1
+    one = long.agg(reporting.single_value(F.lit("w")).alias("w"), *reporting.availability(F.lit(float("nan")), "none")).first()
+    assert tuple(one) == ("w", False, "none")
+    with pytest.raises(Exception, match="several values"):
+        long.agg(reporting.single_value(F.col("sample"))).collect()
+    paths = spark.createDataFrame([("r/s1/s1.bed",), ("s2.txt",)], "p string").select(fn.path_sample(F.col("p"), ".bed").alias("x")).select("x.*").collect()
+    assert [tuple(p) for p in paths] == [("s1", "s1"), (None, None)]
