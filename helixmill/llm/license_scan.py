@@ -1,7 +1,9 @@
 """License notices: fixed phrases, and an exact containment join with license templates.
 
-A text block is a line. A template is found in a block that holds at least CONTAINMENT of
-the template's distinct words. The join orders words by how many blocks of the whole corpus
+A text block is a line, or a window of as many words as the template has, over all of a
+text's words and so across line ends: wrapped notices are found there. A template is found
+in a block that holds at least CONTAINMENT of the template's distinct words, and the word
+that names the license where the template has it. For lines, the join orders words by how many blocks of the whole corpus
 hold them, rarest first; a block that reaches the threshold must share a word with the
 template's prefix (prefix filter), have enough distinct words (length filter), and enough
 words left on both sides behind the shared one (positional filter). What passes is counted.
@@ -12,7 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +37,10 @@ TEMPLATES = [
     ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("proprietary", "All rights reserved"),
 ]
+#: The word that tells a label's templates from other licenses' notices of the same form.
+NAMING = {"mit": "mit", "cc-by-nc": "nc", "apache-2": "apache", "gpl": "gnu", "mpl-2": "mozilla"}
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-OUT = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, found array<struct<template:int,label:string,line:long,overlap:int,containment:double>>"
+OUT = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, found array<struct<template:int,label:string,line:long,overlap:int,containment:double>>, wrapped array<struct<template:int,label:string,first_word:long,last_word:long,overlap:int,containment:double>>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -47,11 +51,13 @@ def words_of(text: str | None) -> list[bytes]:
 class TemplateIndex:
     """Templates as word sets in global order, with an index of their prefixes."""
 
-    def __init__(self, templates: list[tuple[str, str]], counts: dict[bytes, int], containment: float):
+    def __init__(self, templates: list[tuple[str, str]], counts: dict[bytes, int], containment: float, naming: dict[str, str] | None = None):
         self.order = {w: i for i, w in enumerate(sorted({w for _, t in templates for w in words_of(t)}, key=lambda w: (counts.get(w, 0), w)))}
         self.labels = [label for label, _ in templates]
         self.sets = [sorted(set(words_of(t)), key=self.order.__getitem__) for _, t in templates]
         self.need = [math.ceil(containment * len(s) - 1e-9) for s in self.sets]
+        self.length = [len(words_of(t)) for _, t in templates]
+        self.must = [{(naming or {}).get(label, "").encode()}.intersection(s) for label, s in zip(self.labels, self.sets, strict=True)]
         self.prefix: dict[bytes, list[tuple[int, int]]] = {}
         for k, (s, need) in enumerate(zip(self.sets, self.need, strict=True)):
             for i, w in enumerate(s[: len(s) - need + 1]):
@@ -74,10 +80,46 @@ class TemplateIndex:
                 s, need = self.sets[k], self.need[k]
                 if len(distinct) < need or min(len(s) - i, len(distinct) - place[w]) < need:
                     continue
-                if (overlap := sum(x in distinct for x in s)) >= need:
+                if (overlap := sum(x in distinct for x in s)) >= need and self.must[k] <= distinct:
                     out.append((k, overlap))
         return sorted(out)
 
+    def windows(self, words: list[bytes], line_of: Callable[[], list[int]]) -> list[tuple[int, int, int, int]]:
+        """(template, first word, last word, overlap) of windows over more than one line that hold a template.
+
+        Windows start and end at words of the template. Of windows that share words the one
+        of the largest overlap stays, of equal ones the shortest and then the first; where it
+        stands on one line, matches() has it.
+        """
+        distinct = set(words)
+        out = []
+        for k, (s, need) in enumerate(zip(self.sets, self.need, strict=True)):
+            if not need or sum(x in distinct for x in s) < need or not self.must[k] <= distinct:
+                continue
+            kept = frozenset(s)
+            at = [i for i, w in enumerate(words) if w in kept]
+            inside: Counter[bytes] = Counter()
+            left, reach, best = 0, -1, None
+            for i in at:
+                inside[words[i]] += 1
+                while i - at[left] >= self.length[k] or inside[words[at[left]]] > 1:
+                    w = words[at[left]]
+                    inside[w] -= 1
+                    if not inside[w]:
+                        del inside[w]
+                    left += 1
+                if len(inside) < need or any(w not in inside for w in self.must[k]):
+                    continue
+                here = (-len(inside), i - at[left], at[left])
+                if best and at[left] > reach:
+                    out.append((k, best[2], best[2] + best[1], -best[0]))
+                    best = None
+                best, reach = min(best or here, here), i
+            if best:
+                out.append((k, best[2], best[2] + best[1], -best[0]))
+        lines = line_of() if out else []
+        return [x for x in out if lines[x[1]] != lines[x[2]]]
+
 
 def _block_counter(vocabulary: frozenset[bytes]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,15 +150,19 @@ def _scanner(index: TemplateIndex, phrases: dict[str, str]):
                 places.append(joined.count(b" ", 0, at))
                 base.add(label)
                 at = joined.find(needle, at + 1)
-        found = []
+        found, wrapped = [], []
         if not index.prefix.keys().isdisjoint(words):
-            for n, line in enumerate(whole.split(b"\n")):
-                for k, overlap in index.matches(_WORD.findall(line)):
+            lines = [_WORD.findall(line) for line in whole.split(b"\n")]
+            for n, line in enumerate(lines):
+                for k, overlap in index.matches(line):
                     found.append({"template": k, "label": index.labels[k], "line": n, "overlap": overlap, "containment": overlap / len(index.sets[k])})
+            if len(lines) > 1:
+                for k, first, last, overlap in index.windows(words, lambda: [n for n, line in enumerate(lines) for _ in line]):
+                    wrapped.append({"template": k, "label": index.labels[k], "first_word": first, "last_word": last, "overlap": overlap, "containment": overlap / len(index.sets[k])})
         return {
             "n_words": len(words), "n_base": len(places), "first_word": min(places, default=None), "last_word": max(places, default=None),
-            "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | {f["label"] for f in found})),
-            "score": max([1.0] * bool(places) + [f["containment"] for f in found], default=0.0), "found": found,
+            "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | {f["label"] for f in found + wrapped})),
+            "score": max([1.0] * bool(places) + [f["containment"] for f in found + wrapped], default=0.0), "found": found, "wrapped": wrapped,
         }
 
     return scan
@@ -124,34 +170,37 @@ def _scanner(index: TemplateIndex, phrases: dict[str, str]):
 
 def license_scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: list[tuple[str, str]] | None = None,
-    phrases: dict[str, str] | None = None, containment: float = CONTAINMENT,
+    phrases: dict[str, str] | None = None, containment: float = CONTAINMENT, naming: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One row per row of docs: id and OUT, found holding every block and template at or over the threshold.
+    """One row per row of docs: id and OUT, found holding every line and template at or over the threshold,
+    wrapped the places of templates that go over line ends. naming is NAMING for TEMPLATES, else nothing.
 
     Null text counts as empty: no words, no labels (empty strings), score 0. Score is 1 where
     a phrase stands, else the largest containment found. Repeated rows give repeated rows.
     """
+    naming = NAMING if templates is None and naming is None else naming
     templates = TEMPLATES if templates is None else templates
     vocabulary = frozenset(w for _, t in templates for w in words_of(t))
     counted = docs.select(text_col).mapInArrow(_block_counter(vocabulary), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = {bytes(r["word"]): r["n"] for r in counted.collect()}  # a row for each template word at most
-    scan = _scanner(TemplateIndex(templates, counts, containment), PHRASES if phrases is None else phrases)
+    scan = _scanner(TemplateIndex(templates, counts, containment, naming), PHRASES if phrases is None else phrases)
     kind = docs.schema[id_col].dataType.simpleString()
     cols = [c.split()[0] for c in OUT.split(" array")[0].replace(" found", "").split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = pa.list_(pa.struct([("template", pa.int32()), ("label", pa.string()), ("line", pa.int64()), ("overlap", pa.int32()), ("containment", pa.float64())]))
-        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), found]
+        wrapped = pa.list_(pa.struct([("template", pa.int32()), ("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("overlap", pa.int32()), ("containment", pa.float64())]))
+        kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), found, wrapped]
         for batch in batches:
             rows = [scan(t) for t in batch.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[c] for r in rows], k) for c, k in zip([*cols, "found"], kinds, strict=True))], [id_col, *cols, "found"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[c] for r in rows], k) for c, k in zip([*cols, "found", "wrapped"], kinds, strict=True))], [id_col, *cols, "found", "wrapped"])
 
     return docs.select(F.col(id_col), F.col(text_col).alias("t")).mapInArrow(run, f"{id_col} {kind}, {OUT}")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every document."""
-    return license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("found")
+    return license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("found", "wrapped")
 
 
 def _sql() -> str:

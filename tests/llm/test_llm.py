@@ -232,6 +232,44 @@ def test_license_scan(spark):
     assert TemplateIndex(templates, {}, 0.7).matches([]) == [] and license_scan(docs(spark, [])).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    headers = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal",
+        "apache-2": " * you may not use this file except in compliance with the License.\n * You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/",
+        "gpl": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3",
+        "bsd": "# Redistribution and use in source and binary forms, with or without\r\n# modification, are permitted provided that the following conditions are\r\n# met:",
+        "mpl-2": "This Source Code Form is subject to the terms of the\nMozilla Public License, v. 2.0. If a copy",
+    }
+    others = ["Released under the GPL License", "Licensed under the Foo License, Version 2.0", "Licensed under CC BY 4.0", "Released under the\nGPL License", "all rights\nwere reserved", "Released under the MIT License\nthe end", None]
+    rows = [*enumerate(f"some prose\n\n{h}\nmore prose" for h in headers.values()), *enumerate(others, 100)]
+    got = {r["doc_id"]: r for r in license_scan(docs(spark, rows)).collect()}
+    assert [got[k]["labels"] for k in range(5)] == list(headers) and all(got[k]["wrapped"] and got[k]["score"] >= 0.8 for k in range(5))
+    assert [got[100 + k]["labels"] for k in range(len(others))] == ["", "", "", "", "", "mit", ""]
+    assert not got[105]["wrapped"] and got[105]["found"]  # on one line, so not told twice
+    assert (got[0]["wrapped"][0]["first_word"], got[0]["wrapped"][0]["last_word"]) == (2, 21)
+
+
+def test_windows_against_brute_force():
+    rng = random.Random(5)
+    templates = [("a", "one two three four five six"), ("b", "two two seven eight")]
+    vocab = "one two three four five six seven eight x y".split()
+    index = TemplateIndex(templates, {}, 0.75, {"b": "seven"})
+    for _ in range(300):
+        lines = [rng.choices(vocab, k=rng.randint(0, 5)) for _ in range(4)]
+        words, at = [w.encode() for x in lines for w in x], [n for n, x in enumerate(lines) for _ in x]
+        got = index.windows(words, lambda: at)  # noqa: B023
+        held = {k for k, *_ in got} | {k for x in lines for k, _ in index.matches([w.encode() for w in x])}
+        want = set()
+        for k, (_, t) in enumerate(templates):
+            size, s = len(t.split()), {w.encode() for w in t.split()}
+            for i in range(len(words)):
+                part = s & set(words[i : i + size])
+                if len(part) >= index.need[k] and index.must[k] <= part:
+                    want.add(k)
+        assert want <= held and all(len(index.sets[k]) >= n >= index.need[k] for k, _, _, n in got)
+        assert {k for k, *_ in got} <= want
+
+
 def test_url_filter(spark, tmp_path):
     rules = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/"), ("allow", "net/"), ("block", "Org/x")]
     urls = ["http://a.COM/b?x#y", "https://x.example.com/en/1", "http://www.example.com/en/", "http://example.com", None, "no scheme", "ftp://a.net/q", "http://org/xy#z", "http://aorg/x", "a://b://c.com/", "http://com?/x", "http://notexample.com/en/"]
