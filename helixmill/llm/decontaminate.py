@@ -1,9 +1,12 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items meet in seeds, word runs of MIN_TILE words that both hold. An
-item of which the seeds in a document could cover enough is tiled: running Karp-Rabin finds
-maximal matches among unmarked words, the longest are marked first, and so on with shorter
-windows. Tiles stand in any order, so a passage whose sentences were moved is caught. A
+Documents and benchmark items meet in seeds, word runs of MIN_TILE words that both hold (of
+fewer, 2 at least, for items without a sentence that long). An item of which the seeds in a
+document could cover enough is tiled: running Karp-Rabin finds maximal matches among unmarked
+words, the longest are marked first, and so on with shorter windows. Where these tiles don't
+cover enough, whole sentences of the item, short ones too, are looked for first, within an
+item's length of a shared seed, and runs are tiled in what is left. Tiles stand in any order,
+so a passage whose sentences were moved is caught, unless it has one-word sentences only. A
 document is contaminated by an item of which tiles cover at least COVERAGE of the words.
 """
 
@@ -23,6 +26,7 @@ COVERAGE = 0.75
 BLOCK_CHARS = 4_000_000
 MATCH = "array<struct<item_id:long,coverage:double,n_tiles:int,longest:int,tiles:array<struct<item_word:int,doc_word:int,length:int>>>>"
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_END = re.compile(r"(?<=[.!?\u2026])[\"')\]\u00bb\u2019\u201d]*\s+|[\u3002\uff01\uff1f\n\r]+")
 _MOD, _RADIX = (1 << 61) - 1, 1_000_003
 
 
@@ -30,6 +34,16 @@ def words_of(text: str | None) -> list[bytes]:
     return _WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
 
 
+def sentences_of(text: str | None) -> list[tuple[int, int]]:
+    """(start, length) in words of the text's sentences, which end at a mark before a space or at a line's end."""
+    out, at = [], 0
+    for part in _END.split(text or ""):
+        if n := len(words_of(part)):
+            out.append((at, n))
+            at += n
+    return out
+
+
 def _windows(ids: list[int], marked: list[bool], size: int) -> Iterator[tuple[int, int]]:
     """(start, rolling hash) of each run of size unmarked words."""
     top, h, n = pow(_RADIX, size - 1, _MOD), 0, 0
@@ -78,6 +92,29 @@ def tile(item: list[int], doc: list[int], least: int) -> list[tuple[int, int, in
     return out
 
 
+def tile_sentences(item: list[int], sentences: list[tuple[int, int]], doc: list[int], least: int) -> list[tuple[int, int, int]]:
+    """As tile(), but whole sentences are marked first, the longest first, and then what tile() finds in the rest."""
+    a, b = list(item), list(doc)
+    at: dict[int, list[int]] = {}
+    for t, x in enumerate(doc):
+        if x >= 0:
+            at.setdefault(x, []).append(t)
+    out = []
+    for p, n in sorted(sentences, key=lambda x: -x[1]):
+        for t in at.get(item[p], ()):
+            if b[t : t + n] == item[p : p + n]:
+                out.append((p, t, n))
+                a[p : p + n] = b[t : t + n] = [-1] * n
+                break
+    joined: list[tuple[int, int, int]] = []
+    for p, t, n in sorted(out + tile(a, b, least)):
+        if joined and joined[-1][0] + joined[-1][2] == p and joined[-1][1] + joined[-1][2] == t:
+            joined[-1] = (joined[-1][0], joined[-1][1], joined[-1][2] + n)
+        else:
+            joined.append((p, t, n))
+    return sorted(joined, key=lambda x: -x[2])
+
+
 class SeedIndex:
     """Benchmark items as word numbers, and the items of each seed."""
 
@@ -85,15 +122,21 @@ class SeedIndex:
         self.coverage = coverage
         self.vocabulary: dict[bytes, int] = {}
         self.items: list[tuple[int, np.ndarray, int]] = []
+        self.sentences: list[list[tuple[int, int]]] = []
+        self.short: list[set[int]] = []  # the words of sentences that may hold no seed
         keys: dict[int, dict[int, list[int]]] = {}
         for item_id, text in items:
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(text)], np.int64)
             if not len(ids):
                 continue
+            sentences = sentences_of(text)
             k = min(least, len(ids))
-            for p, h in enumerate(self._hashes(ids, k)):
-                keys.setdefault(k, {}).setdefault(int(h), []).append((len(self.items), p))
+            seed = k if len(ids) < least else min(least, max(2, max(n for _, n in sentences)))
+            for p, h in enumerate(self._hashes(ids, seed)):
+                keys.setdefault(seed, {}).setdefault(int(h), []).append((len(self.items), p))
             self.items.append((item_id, ids, k))
+            self.sentences.append(sentences)
+            self.short.append({i for p, n in sentences if n < seed for i in range(p, p + n)} if len(ids) >= least else set())
         self.seeds = {k: (np.array(sorted(at), np.uint64), at) for k, at in keys.items()}
 
     @staticmethod
@@ -103,6 +146,17 @@ class SeedIndex:
             h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + ids[i : len(ids) - k + 1 + i].astype(np.uint64) + np.uint64(1)
         return h
 
+    @staticmethod
+    def _near(ids: np.ndarray, starts: list[int], k: int, around: int) -> tuple[list[int], list[int]]:
+        """The words of seeds of k words and so many around them, with -1 where others are left out, and their places in the document."""
+        near = np.zeros(len(ids) + 1, np.int64)
+        at = np.array(starts)
+        np.add.at(near, np.maximum(at - around, 0), 1)
+        np.add.at(near, np.minimum(at + k + around, len(ids)), -1)
+        back = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+        gaps = np.flatnonzero(np.diff(back) > 1) + 1
+        return np.insert(ids[back], gaps, -1).tolist(), np.insert(back, gaps, -1).tolist()
+
     def matches(self, text: str | None) -> list[dict]:
         """Items that contaminate this whole text, in order of item_id."""
         get = self.vocabulary.get
@@ -127,17 +181,17 @@ class SeedIndex:
                     if not (w := where.setdefault(item, [])) or w[-1] != t:
                         w.append(t)
             for item, cover in covered.items():
-                item_id, words, _ = self.items[item]
-                if len(cover) < self.coverage * len(words) - 1e-9:
-                    continue  # tiles lie within shared seeds, so they cover no more
-                near = np.zeros(len(ids), bool)
-                for t in where[item]:
-                    near[t : t + k] = True
-                back = np.flatnonzero(near)
-                gaps = np.concatenate([[0], np.cumsum(np.diff(back) > 1)])
-                doc = np.insert(ids[back], np.flatnonzero(np.diff(gaps)) + 1, -1).tolist()
-                real = np.insert(back, np.flatnonzero(np.diff(gaps)) + 1, -1).tolist()
-                tiles = tile(words.tolist(), doc, k)
+                item_id, words, least = self.items[item]
+                need = self.coverage * len(words) - 1e-9
+                if len(cover | self.short[item]) < need:
+                    continue  # tiles lie within shared seeds and short sentences, so they cover no more
+                tiles: list[tuple[int, int, int]] = []
+                if len(cover) >= need:
+                    doc, real = self._near(ids, where[item], k, 0)
+                    tiles = tile(words.tolist(), doc, least)
+                if sum(n for _, _, n in tiles) < need and len(words) >= MIN_TILE:
+                    doc, real = self._near(ids, where[item], k, len(words))
+                    tiles = tile_sentences(words.tolist(), self.sentences[item], doc, least)
                 share = sum(n for _, _, n in tiles) / len(words)
                 if share >= self.coverage - 1e-9:
                     out.append({"item_id": item_id, "coverage": share, "n_tiles": len(tiles), "longest": max(n for _, _, n in tiles), "tiles": [{"item_word": p, "doc_word": real[t], "length": n} for p, t, n in tiles]})

@@ -122,6 +122,33 @@ def test_decontamination(spark):
     assert dc.decontaminate(docs(spark, rows), bench.limit(0)).count() == 0 and dc.decontaminate(docs(spark, []), bench).count() == 0
 
 
+def test_moved_short_sentences(spark):
+    rng = random.Random(8)
+    items = {
+        20: "A b. Q1 q2 q3. Q4. Q5 q6 q7 q8. Q9 q10 q11 q12 q13 q14 q15 q16 q17 q18. Q19 q20 q21. Q22 q23? Q24 q25 q26 q27!",
+        21: "R1 r2. R3 r4 r5. R6 r7 r8 r9. R10 r11.\nR12 r13 r14. R15 r16.",
+        22: "s1 s2 s3 s4 s5 s6. T1 a. S7 s8 s9 s10 s11. T1 b.",
+    }
+    rows = []
+    for i, text in items.items():
+        parts = [text[p.start() : p.end()] for p in dc.re.finditer(r"[^.!?]+[.!?]", text)]
+        for n in range(20):
+            rng.shuffle(parts)
+            rows.append((100 * i + n, "Before it other words. " + " ".join(parts) + " Words after it."))
+    half = "Q9 q10 q11 q12 q13 q14 q15 q16 q17 q18."
+    rows += [(1, half), (2, half + " far away" * 60 + " Q5 q6 q7 q8. Q22 q23? A b. Q24 q25 q26 q27! Q1 q2 q3. Q19 q20 q21. Q4."), (3, "r2 r1 r4 r3 r6 r5"), (4, "q1 q2")]
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = dc.decontaminate(docs(spark, rows), bench).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted((100 * i + n, i) for i in items for n in range(20))
+    texts = dict(rows)
+    for r in got:
+        item, doc = dc.words_of(items[r["item_id"]]), dc.words_of(texts[r["doc_id"]])
+        for side, ws in (("item_word", item), ("doc_word", doc)):
+            used = [t[side] + i for t in r["tiles"] for i in range(t["length"])]
+            assert len(set(used)) == len(used) and max(used) < len(ws)
+        assert all(item[t["item_word"] :][: t["length"]] == doc[t["doc_word"] :][: t["length"]] for t in r["tiles"]) and r["coverage"] >= dc.COVERAGE
+
+
 def test_tiles_against_greedy_brute_force():
     rng = random.Random(7)
     for _ in range(150):
