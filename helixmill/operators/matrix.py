@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -92,29 +93,54 @@ def balance(pixels: DataFrame, ignore_diags: int = 2, min_nnz: int = 10, mad_max
     Each round is one join and aggregation; keep(df, name) writes a round's weights so that
     lineage stays short. Bins with few pixels or an outlying marginal get no weight.
     """
-    keep = keep or (lambda df, _: df.checkpoint())
-    px = keep(pixels.where(F.col("bin2") - F.col("bin1") >= ignore_diags).select("bin1", "bin2", F.col("count").cast("double").alias("count")), "pixels")
-    ends = px.select(F.explode(F.array("bin1", "bin2")).alias("bin_id"), "count").groupBy("bin_id").agg(F.sum("count").alias("m"), F.count("*").alias("nnz")).where(F.col("nnz") >= min_nnz)
-    logs = ends.where("m > 0").select("bin_id", F.log("m").alias("l"))
-    mid = logs.agg(F.median("l")).first()[0]
-    if mid is None:
-        return ends.select("bin_id", F.lit(None).cast("double").alias("weight")).limit(0), False, float("nan")
-    mad = logs.agg(F.median(F.abs(F.col("l") - mid))).first()[0]
-    bias = keep(logs.where(F.col("l") >= mid - mad_max * mad).select("bin_id", F.lit(1.0).alias("w")), "w0")
-    var, converged = float("nan"), False
+    w, found = balance_each(pixels.withColumn("__all", F.lit(0)), "__all", ignore_diags, min_nnz, mad_max, tol, max_iters, keep)
+    return w.drop("__all"), *found.get(0, (False, float("nan")))
+
+
+def balance_each(pixels: DataFrame, by: str, ignore_diags: int = 2, min_nnz: int = 10, mad_max: float = 5.0, tol: float = 1e-5, max_iters: int = 200, keep: Callable[[DataFrame, str], DataFrame] | None = None) -> tuple[DataFrame, dict]:
+    """balance() of each of a few matrices in the same rounds: weights (by, bin_id, weight), and by matrix whether it converged and its last variance.
+
+    A matrix that converged takes no part in further rounds.
+    """
+    write, spark = keep or (lambda df, _: df.checkpoint()), pixels.sparkSession
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        """Rows without the plan's constraints, which a checkpoint retains and which multiply from round to round."""
+        kept = write(df, name)._jdf
+        return DataFrame(spark._jsparkSession.createDataFrame(kept.toJavaRDD(), kept.schema()), spark)
+
+    px = keep(pixels.where(F.col("bin2") - F.col("bin1") >= ignore_diags).select(by, "bin1", "bin2", F.col("count").cast("double").alias("count")), "pixels")
+    ends = px.select(by, F.explode(F.array("bin1", "bin2")).alias("bin_id"), "count").groupBy(by, "bin_id").agg(F.sum("count").alias("m"), F.count("*").alias("nnz")).where(F.col("nnz") >= min_nnz)
+    logs = ends.where("m > 0").select(by, "bin_id", F.log("m").alias("l"))
+    far = logs.join(F.broadcast(logs.groupBy(by).agg(F.median("l").alias("mid"))), by)
+    far = far.join(F.broadcast(far.groupBy(by).agg(F.median(F.abs(F.col("l") - F.col("mid"))).alias("mad"))), by)
+    bias = keep(far.where(F.col("l") >= F.col("mid") - mad_max * F.col("mad")).select(by, "bin_id", F.lit(1.0).alias("w")), "w0")
+    live = {r[0] for r in bias.select(by).distinct().collect()}
+    found, done = dict.fromkeys(live, (False, float("nan"))), []
     for k in range(1, max_iters + 1):
-        a, b = bias.toDF("bin1", "w1"), bias.toDF("bin2", "w2")
-        scaled = px.join(a, "bin1").join(b, "bin2").withColumn("v", F.col("count") * F.col("w1") * F.col("w2"))
-        m = keep(scaled.select(F.explode(F.array("bin1", "bin2")).alias("bin_id"), "v").groupBy("bin_id").agg(F.sum("v").alias("m")), f"m{k}")
-        stat = m.where("m > 0").agg(F.avg("m").alias("mean"), F.var_pop("m").alias("var")).first()
-        if not stat["mean"]:
-            break
-        var = stat["var"] / stat["mean"] ** 2
-        if converged := var < tol:
-            bias = bias.withColumn("w", F.col("w") / float(np.sqrt(stat["mean"])))
+        if not live:
             break
-        bias = keep(bias.join(m, "bin_id").select("bin_id", (F.col("w") / F.sqrt(F.col("m") / stat["mean"])).alias("w")), f"w{k}")
-    return bias.withColumnRenamed("w", "weight"), converged, var
+        a, b = bias.toDF(by, "bin1", "w1"), bias.toDF(by, "bin2", "w2")
+        scaled = px.join(a, [by, "bin1"]).join(b, [by, "bin2"]).withColumn("v", F.col("count") * F.col("w1") * F.col("w2"))
+        both = F.explode(F.array(*(F.struct(F.col(f"bin{n}").alias("bin_id"), F.col(f"w{n}").alias("w")) for n in (1, 2)))).alias("x")
+        m = keep(scaled.select(by, both, "v").groupBy(by, "x.bin_id").agg(F.first("x.w").alias("w"), F.sum("v").alias("m")), f"m{k}")
+        stats = {r[0]: r for r in m.where("m > 0").groupBy(by).agg(F.avg("m").alias("mean"), F.var_pop("m").alias("var")).collect()}
+        now = m.select(by, "bin_id", "w")
+        for one in sorted(live):
+            if one not in stats or not stats[one]["mean"]:
+                done.append(bias.where(F.col(by) == one))
+                live.discard(one)
+                continue
+            mean, var = stats[one]["mean"], stats[one]["var"] / stats[one]["mean"] ** 2
+            found[one] = (var < tol, var)
+            if var < tol:
+                done.append(now.where(F.col(by) == one).withColumn("w", F.col("w") / float(np.sqrt(mean))))
+                live.discard(one)
+        if live:
+            means = F.create_map(*(F.lit(x) for one in sorted(live) for x in (one, float(stats[one]["mean"]))))
+            bias = m.where(F.col(by).isin(*live)).select(by, "bin_id", (F.col("w") / F.sqrt(F.col("m") / means[F.col(by)])).alias("w"))
+    left = bias.where(F.col(by).isin(*live)) if live else bias.limit(0)
+    return reduce(DataFrame.unionByName, done, left).withColumnRenamed("w", "weight"), found
 
 
 def concordance(contacts: DataFrame, a: str, b: str, width: int, h: int, max_dist: int) -> DataFrame:

@@ -226,10 +226,10 @@ def agg18_sample_correlation(spark, d):
 
 @query()
 def mdl05_balanced_weights(spark, d):
-    """Weights by iterative correction of one sample's matrix."""
-    px = _pixels(spark, d).where("sample = 's0'").select("bin1", "bin2", "count")
-    w, converged, var = matrix.balance(px, ignore_diags=1, min_nnz=2, max_iters=12, tol=1e-3, keep=_keep(spark))
-    return w.withColumn("status", fn.balance_status(F.lit(True), F.lit(bool(converged)))).withColumn("variance", F.lit(float(var)))
+    """Weights by iterative correction of every sample's matrix, until it converges."""
+    w, found = matrix.balance_each(_pixels(spark, d), "sample", keep=_keep(spark))
+    known = spark.createDataFrame([(one, bool(ok), float(var)) for one, (ok, var) in found.items()], "sample string, converged boolean, variance double")
+    return w.join(F.broadcast(known), "sample").select("sample", "bin_id", "weight", fn.balance_status(F.lit(True), F.col("converged")).alias("status"), "variance")
 
 
 @query()

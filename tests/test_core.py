@@ -268,3 +268,23 @@ def test_assembled_tables(spark):
         long.agg(reporting.single_value(F.col("sample"))).collect()
     paths = spark.createDataFrame([("r/s1/s1.bed",), ("s2.txt",)], "p string").select(fn.path_sample(F.col("p"), ".bed").alias("x")).select("x.*").collect()
     assert [tuple(p) for p in paths] == [("s1", "s1"), (None, None)]
+
+
+def test_every_sample_is_balanced(spark):
+    import numpy as np
+
+    from helixmill.plans import tracks
+
+    d = "/root/testdata/sf0.01"
+    got = tracks.mdl05_balanced_weights(spark, d).collect()
+    assert {r["sample"] for r in got} == {"s0", "s1", "s2", "s3"}
+    px = tracks._pixels(spark, d).collect()
+    for s in ("s0", "s1", "s2", "s3"):
+        w = {r["bin_id"]: r["weight"] for r in got if r["sample"] == s}
+        total = dict.fromkeys(w, 0.0)
+        for r in px:
+            if r["sample"] == s and r["bin2"] - r["bin1"] >= 2 and r["bin1"] in w and r["bin2"] in w:
+                for b in (r["bin1"], r["bin2"]):
+                    total[b] += r["count"] * w[r["bin1"]] * w[r["bin2"]]
+        assert {(r["status"], r["variance"] < 1e-5) for r in got if r["sample"] == s} == {("PASS", True)}
+        assert np.var(list(total.values())) < 1e-5 and abs(np.mean(list(total.values())) - 1) < 1e-6
