@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +79,30 @@ def _clean() -> None:
             return
 
 
+def text_slices(texts: pa.Array, rows: int = 512, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of at most so many rows, and of so many bytes unless one text alone has more.
+
+    Texts become Python objects by such runs: what a worker holds depends on the longest text, not on the batch.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+        stop = min(at + rows, max(at + 1, full), len(texts))
+        yield at, stop - at
+        at = stop
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system; a Python worker outlives its task, and with it would its peak."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def key_bitmap(keys: DataFrame, key: str, bits: int) -> DataFrame:
     """2^bits bits in rows of 512 words; the bit of each key's hash is set.
 
@@ -103,3 +132,25 @@ def with_maybe(rows: DataFrame, key: str, bitmap: DataFrame, bits: int, flag: st
         .withColumn(flag, F.coalesce(hit, F.lit(False)))
         .drop("bm_bucket", "bm_word", "bm_shift", "bm_words")
     )
+
+
+#: A key filter has so many bits for each key, and at most 2^MAX_BITS of them in all (16 MB).
+BITS_A_KEY, MIN_BITS, MAX_BITS = 16, 16, 27
+
+
+def filter_bits(n_keys: int) -> int | None:
+    """Bits of a filter for so many keys, as a power of two; None beyond the largest."""
+    bits = max(MIN_BITS, (BITS_A_KEY * max(1, n_keys) - 1).bit_length())
+    return bits if bits <= MAX_BITS else None
+
+
+def sift(rows: DataFrame, keys: DataFrame, key: str, scratch: Scratch, name: str) -> DataFrame:
+    """rows without most of those whose key isn't among keys; a join decides about the others.
+
+    The filter is broadcast, sized by a count of the keys. For more keys than the largest
+    one is good for, rows stay as they are and the join has all the work.
+    """
+    if (bits := filter_bits(keys.count())) is None:
+        return rows
+    bitmap = scratch.table(key_bitmap(keys, key, bits), name)
+    return with_maybe(rows, key, bitmap, bits, "bm_maybe").where("bm_maybe").drop("bm_maybe")

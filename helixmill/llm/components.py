@@ -33,3 +33,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         last, now = seen, after
     roots = after.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
     return after.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
+
+
+def joined_labels(labels: DataFrame, edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """labels (id, component) after edges (a, b) are added: only components that an edge joins are looked at again."""
+    of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"{c}_component"))
+    ends = edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    joined = scratch.table(components(ends.select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b")), scratch, name), f"{name}-joined")
+    moved = labels.join(joined.toDF("component", "to"), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return moved.unionByName(joined.join(labels, "id", "left_anti"))

@@ -10,15 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower, key_bitmap, with_maybe
+from .common import Scratch, ascii_lower, filter_bits, key_bitmap, with_maybe
 
 PREFIX_CHARS = 128
-BITMAP_BITS = 24
 
 
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    prefix_chars: int = PREFIX_CHARS, digest_all: bool = False, bitmap_bits: int = BITMAP_BITS,
+    prefix_chars: int = PREFIX_CHARS, digest_all: bool = False,
 ) -> DataFrame:
     """One row per row of docs: id, keep_id, group_size, kept, text_sha256.
 
@@ -35,8 +34,11 @@ def exact_dedup(
     keys = scratch.table(sized.drop("t"), "keys")
     lengths = keys.groupBy("len").count().where("count > 1").drop("count")
     alive = keys.join(lengths, "len", "left_semi").groupBy("len", "pre").count().where("count > 1").select(F.xxhash64("len", "pre").alias("key"))
-    bitmap = scratch.table(key_bitmap(alive, "key", bitmap_bits), "bitmap")
-    marked = with_maybe(sized.withColumn("key", F.xxhash64("len", "pre")), "key", bitmap, bitmap_bits, "alive")
+    alive = scratch.table(alive, "surviving")
+    if bits := filter_bits(alive.count()):
+        marked = with_maybe(sized.withColumn("key", F.xxhash64("len", "pre")), "key", scratch.table(key_bitmap(alive, "key", bits), "bitmap"), bits, "alive")
+    else:  # too many groups survive for a filter of bounded size: every text is hashed
+        marked = sized.withColumn("alive", F.lit(True))
     whole = F.sha2(F.col("t").cast("binary"), 256)
     rows = scratch.table(marked.select("id", "len", "alive", (whole if digest_all else F.when(F.col("alive"), whole)).alias("sha")), "rows")
     groups = scratch.table(

@@ -8,12 +8,15 @@ shingle sets decide.
 
 Work stays linear in hot groups: documents of equal sets are one class; in each bucket of
 a band, classes are first linked with one pivot, then only members of different components
-are compared, block by block in a task's memory, and nothing but links comes out.
+are compared, by registers, block by block in a task's memory, and nothing but links comes
+out. Where these blocks would be more work than looking at every register, members go first
+that share no rare register with another: a pair equal in EQUAL of REGISTERS registers shares
+one of the REGISTERS - EQUAL + 1 rarest of either, so what only a common passage brought
+together is left out, whatever its number.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Iterator
 
@@ -24,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, key_bitmap, with_maybe
-from .components import components
+from .common import Scratch, give_back, sift, text_slices
+from .components import components, joined_labels
 
 WORDS = 5
 #: Linked where DENOMINATOR * intersection >= NUMERATOR * union.
@@ -37,13 +40,16 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, LARGEST = 1.001, 20.0, 65534
 #: A candidate goes on unless its estimate lies so many standard errors under the threshold.
 SIGMAS = 6.0
-BITMAP_BITS = 23
-#: Members of a bucket compared at a time.
-BLOCK = 256
+#: Registers are equal with a probability of the similarity at least, so linked sets have fewer equal ones only beyond SIGMAS.
+EQUAL = math.floor(REGISTERS * NUMERATOR / DENOMINATOR - SIGMAS * math.sqrt(REGISTERS * NUMERATOR / DENOMINATOR * (1 - NUMERATOR / DENOMINATOR)))
+#: Members of a bucket compared at a time, and their shingles unless one set alone has more.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
+#: Rare registers are looked for where blocks would compare more pairs than so many for each member.
+PAIRS_A_MEMBER = 64 * REGISTERS
 
 _rng = np.random.default_rng(20240229)
-_MUL = _rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) * np.uint64(2)
+_MUL = _rng.integers(0, 1 << 31, REGISTERS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = _rng.integers(0, 1 << 32, REGISTERS, dtype=np.uint32)
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,17 +74,20 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """REGISTERS values; 0 everywhere for the empty set. sketch(a | b) == maximum(sketch(a), sketch(b))."""
+    """REGISTERS values; 0 everywhere for the empty set. sketch(a | b) == maximum(sketch(a), sketch(b)).
+
+    The low halves of the hashes are enough: a coincidence can only make registers equal.
+    """
     if not len(shingles):
         return np.zeros(REGISTERS, np.uint16)
-    best = np.zeros(REGISTERS, np.uint64)
-    for lo in range(0, len(shingles), 512):
-        x = shingles[lo : lo + 512, None]
-        for r in range(0, REGISTERS, 64):
-            np.maximum(best[r : r + 64], (x * _MUL[r : r + 64] + _ADD[r : r + 64]).max(0), out=best[r : r + 64])
-    gap = (np.uint64(2**64 - 1) - best).astype(np.float64) + 0.5
-    least = -np.log1p(-np.minimum(gap / 2.0**64, 1 - 1e-16)) / RATE  # the smallest exponential variate
-    return np.clip(np.floor(1 - np.log(least) / math.log(BASE)) + 0.0, 0, LARGEST).astype(np.uint16)
+    low, best = shingles.astype(np.uint32), np.zeros(REGISTERS, np.uint32)
+    for lo in range(0, len(low), 64):
+        x = low[lo : lo + 64, None] * _MUL
+        x += _ADD
+        np.maximum(best, x.max(0), out=best)
+    gap = (2.0**32 - 1 - best.astype(np.float64)) + 0.5
+    least = -np.log1p(-gap / 2.0**32) / RATE  # the smallest exponential variate
+    return np.clip(np.floor(1 - np.log(least) / math.log(BASE)), 0, LARGEST).astype(np.uint16)
 
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
@@ -126,25 +135,27 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512)
+        for lo, n in text_slices(batch.column("t")):
+            part = batch.slice(lo, n)
             sets = [shingle_set(t) for t in part.column("t").to_pylist()]
             keys = [band_keys(sketch(s)) if len(s) else np.zeros(0, np.int64) for s in sets]
             digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "digest", "bands"]
             )
+            del sets, keys
+        give_back()
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lo in range(0, batch.num_rows, 512):
-            part = batch.slice(lo, 512)
+        for lo, n in text_slices(batch.column("t")):
+            part = batch.slice(lo, n)
             sets = [shingle_set(t) for t in part.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([sketch(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["id", "n", "sketch", "shingles"],
-            )
+            columns = [[xxhash.xxh3_128_digest(s.tobytes()) for s in sets], [sketch(s).tobytes() for s in sets], [s.tobytes() for s in sets]]
+            yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(c, pa.binary()) for c in columns)], ["id", "digest", "sketch", "shingles"])
+            del sets, columns
+        give_back()
 
 
 def _unpack(column: pa.Array, kind) -> list[np.ndarray]:
@@ -153,38 +164,69 @@ def _unpack(column: pa.Array, kind) -> list[np.ndarray]:
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if batch.num_rows:
-            a, b = (np.stack(_unpack(batch.column(c), np.uint16)).astype(np.int32) for c in ("sa", "sb"))
-            j = likely_similarity((a > b).sum(1), (a < b).sum(1), batch.column("na").to_numpy(), batch.column("nb").to_numpy())
-            yield batch.select(["a", "b"]).filter(pa.array(hopeful(j)))
+        for lo in range(0, batch.num_rows, 2048):
+            part = batch.slice(lo, 2048)
+            a, b = (np.stack(_unpack(part.column(c), np.uint16)) for c in ("sa", "sb"))
+            j = likely_similarity((a > b).sum(1), (a < b).sum(1), part.column("na").to_numpy(), part.column("nb").to_numpy())
+            yield part.select(["a", "b"]).filter(pa.array(hopeful(j)))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keep = [linked(x, y) for x, y in zip(_unpack(batch.column("xa"), np.uint64), _unpack(batch.column("xb"), np.uint64), strict=True)]
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for lo, n in text_slices(batch.column("xa")):
+            part = batch.slice(lo, n)
+            keep = [linked(x, y) for x, y in zip(_unpack(part.column("xa"), np.uint64), _unpack(part.column("xb"), np.uint64), strict=True)]
+            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are linked: first by registers, then by sets."""
-    small = sets.select("id", "n", "sketch")
+    small = sets.select("node", "n", "sketch")
     both = pairs.join(small.toDF("a", "na", "sa"), "a").join(small.toDF("b", "nb", "sb"), "b")
     likely = both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_likely, "a long, b long")
-    full = sets.select("id", "shingles")
+    full = sets.select("node", "shingles")
     return likely.join(full.toDF("a", "xa"), "a").join(full.toDF("b", "xb"), "b").select("a", "b", "xa", "xb").mapInArrow(_confirm, "a long, b long")
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each register as a number of its place and value."""
+    place = np.arange(REGISTERS, dtype=np.int32) << 16
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 1024):
+            part = batch.slice(lo, 1024)
+            flat = (np.stack(_unpack(part.column("sketch"), np.uint16)).astype(np.int32) | place).ravel()
+            lists = pa.ListArray.from_arrays(np.arange(part.num_rows + 1, dtype=np.int32) * REGISTERS, flat)
+            yield pa.RecordBatch.from_arrays([part.column("node"), part.column("component"), lists], ["node", "component", "tokens"])
+
+
+def rare_sharers(nodes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Of nodes (node, component, sketch) those (node) that share one of their rarest registers with another component's.
+
+    Rare is what few of all nodes have. No pair of different components that is equal in
+    EQUAL registers loses a member. A node's registers are gathered, never a register's nodes.
+    """
+    each = scratch.table(nodes.mapInArrow(_tokens, "node long, component long, tokens array<int>"), f"{name}-registers").select("node", "component", F.explode("tokens").alias("token"))
+    shared = scratch.table(each.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 1"), f"{name}-shared")
+    known = each.join(shared.select("token", "n", (F.col("lo") != F.col("hi")).alias("mixed")), "token")
+    rows = known.groupBy("node", "component").agg(F.array_sort(F.collect_list(F.struct("n", "token", "mixed"))).alias("c"))
+    rarest = rows.withColumn("c", F.expr(f"slice(c, 1, greatest(0, {REGISTERS - EQUAL + 1} - ({REGISTERS} - size(c))))"))  # registers of one node only come first and meet no other
+    prefix = scratch.table(rarest.select("node", "component", F.explode("c.token").alias("token")), f"{name}-rarest")
+    mixed = prefix.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    out = scratch.table(prefix.join(mixed, "token", "left_semi").select("node").distinct(), name)
+    scratch.drop(f"{name}-registers", f"{name}-shared", f"{name}-rarest")
+    return out
+
+
 def _compare_blocks(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
     """Links between members of different components: block i with block j of one bucket.
 
     Within the task, members that a found link has joined are not compared again.
     """
     i, j = int(left["i"].iat[0]), int(left["j"].iat[0])
-    left = left.sort_values("id").drop_duplicates("id")
-    ids, comp, block = (left[c].to_numpy() for c in ("id", "component", "block"))
-    regs = np.stack([np.frombuffer(x, np.uint16) for x in left["sketch"]]).astype(np.int32)
-    sets = [np.frombuffer(x, np.uint64) for x in left["shingles"]]
-    size = np.array([len(s) for s in sets])
+    left = left.sort_values("node").drop_duplicates("node")
+    ids, comp, block, size = (left[c].to_numpy() for c in ("node", "component", "block", "n"))
+    regs, sets = np.stack([np.frombuffer(x, np.uint16) for x in left["sketch"]]), left["shingles"].to_numpy()
     parent = {c: c for c in set(comp.tolist())}
 
     def find(c: int) -> int:
@@ -196,79 +238,91 @@ def _compare_blocks(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
     out = []
     rows, cols = np.flatnonzero(block == i), np.flatnonzero(block == j)
     for x in rows:
-        mine = find(int(comp[x]))
-        ys = cols[np.fromiter((find(int(c)) != mine for c in comp[cols]), bool, len(cols))]
+        ys = cols[(comp[cols] != comp[x]) & (DENOMINATOR * np.minimum(size[cols], size[x]) >= NUMERATOR * np.maximum(size[cols], size[x]))]
         ys = ys[ys > x] if i == j else ys
+        if not len(ys):
+            continue
+        ys = ys[(regs[ys] == regs[x]).sum(1, dtype=np.uint16) >= EQUAL]
         if not len(ys):
             continue
         a, b = regs[x], regs[ys]
         near = ys[hopeful(likely_similarity((a > b).sum(1), (a < b).sum(1), np.full(len(ys), size[x]), size[ys]))]
+        mine = np.frombuffer(sets[x], np.uint64)
         for y in near:
-            if find(int(comp[x])) != find(int(comp[y])) and linked(sets[x], sets[y]):
+            if find(int(comp[x])) != find(int(comp[y])) and linked(mine, np.frombuffer(sets[y], np.uint64)):
                 out.append((ids[x], ids[y]))
                 parent[find(int(comp[x]))] = find(int(comp[y]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs with an id: id, n_shingles, component_id, kept, links.
+def _late_links(named: DataFrame, sets: DataFrame, scratch: Scratch, pairs_a_member: int) -> DataFrame:
+    """Links between members other than the pivot that one bucket still has in several components."""
+
+    def divided(rows: DataFrame) -> DataFrame:
+        groups = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"), F.sum("n").alias("all"))
+        return groups.where("lo <> hi").select("key", "m", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+
+    others = named.where("node <> pivot and size > 2").select("key", "node", "component", "n")
+    split = scratch.table(divided(others), "divided")
+    open_rows = scratch.table(others.join(split, "key"), "open")
+    members = open_rows.select("node", "component").distinct()
+    pairs = split.agg(F.sum(F.col("m").cast("double") * F.col("m") / 2)).first()[0] or 0.0
+    if pairs > pairs_a_member * members.count():
+        alive = rare_sharers(members.join(sets.select("node", "sketch"), "node"), scratch, "rare")
+        fewer = open_rows.drop("m", "blocks").join(alive, "node", "left_semi")
+        open_rows = scratch.table(fewer.join(divided(fewer), "key"), "open-rare")
+    dealt = open_rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    tasks = dealt.select("key", "node", "component", "block", other).select("key", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    loaded = tasks.join(sets, "node")
+    return loaded.groupBy("key", "i", "j").applyInPandas(_compare_blocks, "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pairs_a_member: int = PAIRS_A_MEMBER) -> DataFrame:
+    """One row per row of docs: id, n_shingles, component_id, kept, links.
 
     component_id is the smallest id reachable over links, kept marks that id. links counts
     the found links between classes of equal sets that touch the row's class. Texts without
-    words, null ones too, are alone. Repeated rows are in their component; a null id has a
-    row of its own with null component, kept. An empty table gives no rows.
+    words, null ones too, are alone. Repeated rows are in their component, and rows that share
+    an id but not the text count each by its own text; a null id has a row of its own with
+    null component, kept. An empty table gives no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
     sigs = scratch.table(base.mapInArrow(_signatures, "id long, n long, digest binary, bands array<long>"), "signatures")
-    # Classes of equal sets; the smallest id stands for its class.
-    classes = scratch.table(sigs.where("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    reps = sigs.where("id is not null").join(classes.withColumnRenamed("rep", "id"), ["digest", "id"], "left_semi").select("id", "bands").dropDuplicates(["id"])
-    keyed = scratch.table(reps.select("id", F.explode("bands").alias("key")), "keyed")
-    buckets = scratch.table(keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "buckets")
-    in_bucket = scratch.table(key_bitmap(buckets, "key", BITMAP_BITS), "in-bucket")
-    members = scratch.table(with_maybe(keyed, "key", in_bucket, BITMAP_BITS, "maybe").where("maybe").drop("maybe").join(buckets, "key"), "members")
-    scratch.drop("keyed")
+    # Classes of equal sets, each a node.
+    named = sigs.where("digest is not null and id is not null")
+    classes = named.groupBy("digest").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = scratch.table(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    keyed = classes.select("node", "n", F.explode("bands").alias("key"))
+    buckets = scratch.table(keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1"), "buckets")
+    members = scratch.table(sift(keyed, buckets, "key", scratch, "in-bucket").join(buckets, "key"), "members")
     # Sets of classes that share a bucket, from the whole texts.
-    wanted = scratch.table(members.select("id").distinct(), "wanted")
-    maybe = with_maybe(base.where("id is not null"), "id", scratch.table(key_bitmap(wanted, "id", BITMAP_BITS), "wanted-bits"), BITMAP_BITS, "maybe")
-    sets = maybe.where("maybe").select("id", "t").mapInArrow(_sets, "id long, n long, sketch binary, shingles binary")
-    sets = scratch.table(sets.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "sets")
+    wanted = scratch.table(members.select("node").distinct().join(classes.select("node", "n", "digest", F.col("rep").alias("id")), "node"), "wanted")
+    sets = sift(base.where("id is not null"), wanted, "id", scratch, "wanted-ids").mapInArrow(_sets, "id long, digest binary, sketch binary, shingles binary")
+    sets = scratch.table(sets.join(wanted, ["digest", "id"]).dropDuplicates(["digest", "id"]).select("node", "n", "sketch", "shingles"), "sets")
     # Each class with its smallest pivot, then with the pivots of buckets that are still divided.
-    first = members.where("id <> pivot").groupBy("id").agg(F.min("pivot").alias("a")).select("a", F.col("id").alias("b"))
+    first = members.where("node <> pivot").groupBy("node").agg(F.min("pivot").alias("a")).select("a", F.col("node").alias("b"))
     edges = scratch.table(_verified(first, sets), "edges-1")
-    tried = first
-    for step in itertools.count(1):
-        label = scratch.table(components(edges, scratch, f"c{step}"), f"label-{step}")
-        named = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        if step == 2:
-            break
-        head = label.toDF("pivot", "pivot_component")
-        apart = named.where("id <> pivot").join(head, "pivot", "left").where("component <> coalesce(pivot_component, pivot)")
-        pairs = apart.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        edges = edges.unionByName(scratch.table(_verified(pairs, sets), "edges-2"))
-    # A bucket whose members other than the pivot are in several components still has pairs not compared.
-    divided = (
-        named.where("id <> pivot and size > 2").groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m"))
-        .where("lo <> hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    )
-    open_rows = named.where("id <> pivot").join(divided, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tasks = open_rows.select("key", "id", "component", "block", other).select("key", "id", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    loaded = tasks.join(sets.select("id", "sketch", "shingles"), "id")
-    late = scratch.table(loaded.groupBy("key", "i", "j").applyInPandas(_compare_blocks, "a long, b long").distinct(), "edges-3")
-    edges = scratch.table(edges.unionByName(late).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    label = scratch.table(components(edges, scratch, "c3"), "label")
-    degree = edges.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
-    named = classes.join(label, classes.rep == label.id, "left").drop("id").join(degree, F.col("rep") == degree.id, "left")
-    named = scratch.table(named.select("digest", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links")), "named")
-    out = scratch.table(
-        sigs.where("digest is not null and id is not null").select("id", "n", "digest").join(named, "digest").select("id", "n", "component", "links")
-        .unionByName(sigs.where("digest is null or id is null").select("id", "n", F.col("id").alias("component"), F.lit(0).cast("long").alias("links"))),
-        "out",
-    )
-    scratch.drop("signatures", "members", "sets", "buckets", "edges-1", "edges-2", "edges-3")
+    label = scratch.table(components(edges, scratch, "c1"), "label-1")
+    with_label = lambda: members.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    head = label.toDF("pivot", "pivot_component")
+    apart = with_label().where("node <> pivot").join(head, "pivot", "left").where("component <> coalesce(pivot_component, pivot)")
+    pairs = apart.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    second = scratch.table(_verified(pairs, sets), "edges-2")
+    label = scratch.table(joined_labels(label, second, scratch, "c2"), "label-2")
+    late = scratch.table(_late_links(with_label(), sets, scratch, pairs_a_member), "edges-3")
+    label = scratch.table(joined_labels(label, late, scratch, "c3"), "label")
+    edges = edges.unionByName(second).unionByName(late).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    degree = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    tied = classes.select("node", "rep").join(label.withColumnRenamed("id", "node"), "node")
+    least = tied.groupBy("component").agg(F.min("rep").alias("component_id"))
+    tied = scratch.table(tied.join(least, "component").join(degree, "node", "left").select("node", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "tied")
+    told = classes.select("digest", "node", "rep").join(tied, "node", "left").select("digest", F.coalesce("component_id", "rep").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+    alone = sigs.where("digest is null or id is null").select("id", "n", F.col("id").alias("component"), F.lit(0).cast("long").alias("links"))
+    out = scratch.table(named.select("id", "n", "digest").join(told, "digest").select("id", "n", "component", "links").unionByName(alone), "out")
+    scratch.drop("signatures", "classes", "members", "wanted", "sets", "buckets", "edges-1", "edges-2", "edges-3", "open", "open-rare", "tied")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("id").eqNullSafe(F.col("component")).alias("kept"), "links")
 
 

@@ -81,7 +81,8 @@ def brute_components(rows):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
-def test_near_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("pairs_a_member", [ss.PAIRS_A_MEMBER, 0])
+def test_near_duplicates_against_brute_force(spark, pairs_a_member):
     rng = random.Random(4)
     base = [f"w{k}" for k in range(120)]
     rows = [(1, None), (2, ""), (3, "One two"), (4, "one TWO"), (5, "a b c d e"), (6, "a b c d f")]
@@ -92,12 +93,29 @@ def test_near_duplicates_against_brute_force(spark):
         rows.append((100 + i, " ".join(w)))
     rows += [(300 + i, " ".join(f"u{i}_{k}" for k in range(40))) for i in range(20)]
     rows += [(400, rows[10][1].upper()), (401, "k " * 50_000)]
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in ss.near_duplicates(docs(spark, rows)).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in ss.near_duplicates(docs(spark, rows), pairs_a_member=pairs_a_member).collect()}
     assert got == brute_components(rows)
     assert ss.near_duplicates(docs(spark, [])).count() == 0
     assert ss.near_duplicates(docs(spark, [(1, "a"), (1, "a"), (None, "a")])).count() == 3
 
 
+def test_rows_that_share_an_id_but_not_the_text(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    got = rows_of(ss.near_duplicates(docs(spark, [(7, a), (7, b), (8, a + " w"), (9, b + " w"), (10, b)])), "doc_id", "component_id", "kept")
+    assert got == [(10, 7, False), (7, 7, True), (7, 7, True), (8, 7, False), (9, 7, False)]
+
+
+def test_hot_bucket_of_dissimilar_members(spark):
+    passage = [f"p{k}" for k in range(90)]
+    rows = [(i, " ".join(passage + [f"u{i}_{k}" for k in range(50)])) for i in range(5000)]
+    rows += [(6000, rows[4000][1] + " w"), (6001, rows[4000][1] + " x y z")]
+    got = {r["doc_id"]: r["component_id"] for r in ss.near_duplicates(docs(spark, rows), pairs_a_member=0).collect()}
+    assert got == {**{i: i for i in range(5000)}, 6000: 4000, 6001: 4000}
+    nodes = [(i, i, ss.sketch(ss.shingle_set(t)).tobytes()) for i, t in rows]
+    df = spark.createDataFrame(nodes, "node long, component long, sketch binary")
+    assert {r["node"] for r in ss.rare_sharers(df, Scratch(spark), "t").collect()} == {4000, 6000, 6001}  # nobody else is compared
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(1)
     for j in (0.2, 0.5, 0.75, 0.95):
