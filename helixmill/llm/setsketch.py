@@ -11,8 +11,8 @@ a band, classes are first linked with one pivot, then only members of different
 are compared, by registers, block by block in a task's memory, and nothing but links comes
 out. Where these blocks would be more work than looking at every register, members go first
 that share no rare register with another: a pair equal in EQUAL of REGISTERS registers shares
-one of the REGISTERS - EQUAL + 1 rarest of either, so what only a common passage brought
-together is left out, whatever its number.
+one of the REGISTERS - EQUAL + 1 rarest of either, so what only a common passage (of up to
+three fifths of a text) brought together is left out, whatever its number.
 """
 
 from __future__ import annotations
@@ -189,24 +189,36 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return likely.join(full.toDF("a", "xa"), "a").join(full.toDF("b", "xb"), "b").select("a", "b", "xa", "xb").mapInArrow(_confirm, "a long, b long")
 
 
+def register_tokens(shingles: np.ndarray) -> np.ndarray:
+    """For each register a number of its place and of the shingle whose variate it holds."""
+    low, best, token = shingles.astype(np.uint32), np.zeros(REGISTERS, np.uint32), np.full(REGISTERS, shingles[0])
+    for lo in range(0, len(low), 64):
+        x = low[lo : lo + 64, None] * _MUL
+        x += _ADD
+        at = x.argmax(0)
+        value = x[at, np.arange(REGISTERS)]
+        more = value > best
+        best[more], token[more] = value[more], shingles[lo + at[more]]
+    return _mix(token + np.arange(1, REGISTERS + 1, dtype=np.uint64) * _P).view(np.int64)
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each register as a number of its place and value."""
-    place = np.arange(REGISTERS, dtype=np.int32) << 16
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1024):
-            part = batch.slice(lo, 1024)
-            flat = (np.stack(_unpack(part.column("sketch"), np.uint16)).astype(np.int32) | place).ravel()
-            lists = pa.ListArray.from_arrays(np.arange(part.num_rows + 1, dtype=np.int32) * REGISTERS, flat)
+        for lo, n in text_slices(batch.column("shingles")):
+            part = batch.slice(lo, n)
+            flat = np.concatenate([register_tokens(x) for x in _unpack(part.column("shingles"), np.uint64)])
+            lists = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * REGISTERS, flat)
             yield pa.RecordBatch.from_arrays([part.column("node"), part.column("component"), lists], ["node", "component", "tokens"])
 
 
 def rare_sharers(nodes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Of nodes (node, component, sketch) those (node) that share one of their rarest registers with another component's.
+    """Of nodes (node, component, shingles) those (node) that share one of their rarest registers with another component's.
 
-    Rare is what few of all nodes have. No pair of different components that is equal in
-    EQUAL registers loses a member. A node's registers are gathered, never a register's nodes.
+    A register counts by the shingle it holds, which has more bits than its value. Rare is
+    what few of all nodes have. No pair of different components with EQUAL registers of the
+    same shingles loses a member. A node's registers are gathered, never a register's nodes.
     """
-    each = scratch.table(nodes.mapInArrow(_tokens, "node long, component long, tokens array<int>"), f"{name}-registers").select("node", "component", F.explode("tokens").alias("token"))
+    each = scratch.table(nodes.mapInArrow(_tokens, "node long, component long, tokens array<long>"), f"{name}-registers").select("node", "component", F.explode("tokens").alias("token"))
     shared = scratch.table(each.groupBy("token").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("n > 1"), f"{name}-shared")
     known = each.join(shared.select("token", "n", (F.col("lo") != F.col("hi")).alias("mixed")), "token")
     rows = known.groupBy("node", "component").agg(F.array_sort(F.collect_list(F.struct("n", "token", "mixed"))).alias("c"))
@@ -268,7 +280,7 @@ def _late_links(named: DataFrame, sets: DataFrame, scratch: Scratch, pairs_a_mem
     members = open_rows.select("node", "component").distinct()
     pairs = split.agg(F.sum(F.col("m").cast("double") * F.col("m") / 2)).first()[0] or 0.0
     if pairs > pairs_a_member * members.count():
-        alive = rare_sharers(members.join(sets.select("node", "sketch"), "node"), scratch, "rare")
+        alive = rare_sharers(members.join(sets.select("node", "shingles"), "node"), scratch, "rare")
         fewer = open_rows.drop("m", "blocks").join(alive, "node", "left_semi")
         open_rows = scratch.table(fewer.join(divided(fewer), "key"), "open-rare")
     dealt = open_rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))

@@ -106,13 +106,13 @@ def test_rows_that_share_an_id_but_not_the_text(spark):
 
 
 def test_hot_bucket_of_dissimilar_members(spark):
-    passage = [f"p{k}" for k in range(90)]
-    rows = [(i, " ".join(passage + [f"u{i}_{k}" for k in range(50)])) for i in range(5000)]
+    passage = [f"p{k}" for k in range(74)]
+    rows = [(i, " ".join(passage + [f"u{i}_{k}" for k in range(70)])) for i in range(5000)]
     rows += [(6000, rows[4000][1] + " w"), (6001, rows[4000][1] + " x y z")]
     got = {r["doc_id"]: r["component_id"] for r in ss.near_duplicates(docs(spark, rows), pairs_a_member=0).collect()}
     assert got == {**{i: i for i in range(5000)}, 6000: 4000, 6001: 4000}
-    nodes = [(i, i, ss.sketch(ss.shingle_set(t)).tobytes()) for i, t in rows]
-    df = spark.createDataFrame(nodes, "node long, component long, sketch binary")
+    nodes = [(i, i, ss.shingle_set(t).tobytes()) for i, t in rows]
+    df = spark.createDataFrame(nodes, "node long, component long, shingles binary")
     assert {r["node"] for r in ss.rare_sharers(df, Scratch(spark), "t").collect()} == {4000, 6000, 6001}  # nobody else is compared
 
 
