@@ -79,20 +79,21 @@ def _clean() -> None:
             return
 
 
-def text_slices(texts: pa.Array, rows: int = 512, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """(start, length) of runs of at most so many rows, and of so many bytes unless one text alone has more.
-
-    Texts become Python objects by such runs: what a worker holds depends on the longest text, not on the batch.
-    """
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    at = 0
-    while at < len(texts):
+def runs(sizes: np.ndarray, rows: int, size: int) -> Iterator[tuple[int, int]]:
+    """(start, length) of runs of at most so many rows, and of so much size unless one row alone has more."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
         full = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
-        stop = min(at + rows, max(at + 1, full), len(texts))
+        stop = min(at + rows, max(at + 1, full), len(ends))
         yield at, stop - at
         at = stop
 
 
+def text_slices(texts: pa.Array, rows: int = 512, size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Runs of texts by their bytes: so few become Python objects that a worker's need depends on the longest text, not on the batch."""
+    return runs(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64), rows, size)
+
+
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 

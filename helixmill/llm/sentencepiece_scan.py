@@ -8,31 +8,48 @@ it; a chunk's matrix has the weight of the best path from each state at its left
 at its right one. Matrices combine associatively in the max-plus semiring, within groups of
 chunks and then over groups, which fixes the states at all cuts; each chunk then traces its
 own path back. No piece holds a space after another character, so between the first and last
-such place of a chunk the path doesn't depend on the states, and the library encodes that
-part. Other texts are scans of one chunk.
+such place of a chunk the path doesn't depend on the states: the library encodes that part,
+once, when the matrix is made. Other texts are scans of one chunk.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import Scratch, give_back, runs, text_slices
+
 CHUNK_CHARS = 16_384
 #: Chunks whose matrices one task combines.
 GROUP_CHUNKS = 64
-#: Texts or chunks whose ids are Python numbers at a time.
-SLICE = 128
+#: Texts, and their bytes unless one alone has more, whose ids are Python numbers at a time.
+SLICE, SLICE_BYTES = 256, 1 << 20
 SPACE = "▁"
 NEVER = -np.inf
 
 
+def piece_bytes(model: bytes) -> list[bytes]:
+    """What each id stands for: a piece's text with spaces, or one byte; nothing for control ids."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    out = []
+    for i in range(sp.get_piece_size()):
+        piece = sp.id_to_piece(i)
+        if sp.is_byte(i):
+            out.append(bytes([int(piece[3:5], 16)]))
+        else:
+            out.append(b"" if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) else piece.replace(SPACE, " ").encode())
+    return out
+
+
 class PieceModel:
     """A BPE model with byte fallback, an added leading space and no other normalisation."""
 
@@ -40,21 +57,28 @@ class PieceModel:
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-        n = self.sp.get_piece_size()
-        plain = [i for i in range(n) if not (self.sp.is_control(i) or self.sp.is_unknown(i) or self.sp.is_byte(i) or self.sp.is_unused(i))]
-        self.ids = {self.sp.id_to_piece(i): i for i in plain}
-        self.rank = {p: -self.sp.get_score(i) for p, i in self.ids.items()}
-        self.longest = max(map(len, self.ids))
-        self.byte = {int(self.sp.id_to_piece(i)[3:5], 16): i for i in range(n) if self.sp.is_byte(i)}
-        self.text = [b""] * n
-        for p, i in self.ids.items():
-            self.text[i] = p.replace(SPACE, " ").encode()
-        for b, i in self.byte.items():
-            self.text[i] = bytes([b])
-        self.agree = lru_cache(1 << 16)(self._agree)
-        self.sound = lru_cache(1 << 16)(self._sound)
-        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
+        self.agree = lru_cache(1 << 15)(self._agree)
+        self.sound = lru_cache(1 << 15)(self._sound)
+
+    @cached_property
+    def ids(self) -> dict[str, int]:
+        sp = self.sp
+        out = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))}
+        if any(SPACE in p.lstrip(SPACE) for p in out):
             raise ValueError("a piece holds a space after another character")
+        return out
+
+    @cached_property
+    def rank(self) -> dict[str, float]:
+        return {p: -self.sp.get_score(i) for p, i in self.ids.items()}
+
+    @cached_property
+    def longest(self) -> int:
+        return max(map(len, self.ids))
+
+    @cached_property
+    def byte(self) -> dict[int, int]:
+        return {int(self.sp.id_to_piece(i)[3:5], 16): i for i in range(self.sp.get_piece_size()) if self.sp.is_byte(i)}
 
     def _bpe(self, text: str) -> list[str]:
         """Of all neighbours whose joined text is a piece, the best-ranked, then leftmost, join first."""
@@ -131,13 +155,16 @@ class PieceModel:
     def exits(self, s: str, base: int, hi: int, end: int) -> list[tuple[int, int]]:
         return [x for x in self.states(s, base, hi) if hi < end or x[1] == end]
 
-    def matrix(self, s: str, base: int, lo: int, hi: int, end: int) -> np.ndarray:
-        """The chunk [lo, hi) of a text that ends at end; s reaches longest characters beyond both cuts."""
+    def scan(self, s: str, base: int, lo: int, hi: int, end: int) -> tuple[np.ndarray, list[int], tuple[int, int] | None]:
+        """Matrix, ids of the part between the anchors, and the anchors of the chunk [lo, hi) of a text that ends at end.
+
+        s reaches longest characters beyond both cuts.
+        """
         rows, cols = self.entries(s, base, lo), self.exits(s, base, hi, end)
         out = np.full((len(rows), len(cols)), NEVER)
         cut = self.anchors(s, base, lo + 1, hi - 1)
         tail = self.paths(s, base, (cut[1], cut[1]), hi) if cut else None
-        inner = -len(self.middle(s, base, *cut)) if cut else 0
+        inner = self.middle(s, base, *cut) if cut else []
         for r, entry in enumerate(rows):
             if entry[1] >= hi and not cut:  # the entry's piece holds the whole chunk
                 for c, x in enumerate(cols):
@@ -147,41 +174,53 @@ class PieceModel:
             if cut:
                 head = max((w for (_, k), (w, _) in seen.items() if k == cut[0]), default=NEVER)
                 for c, x in enumerate(cols):
-                    out[r, c] = head + inner + tail[x][0] if x in tail and x != (cut[1], cut[1]) else NEVER
+                    out[r, c] = head - len(inner) + tail[x][0] if x in tail and x != (cut[1], cut[1]) else NEVER
             else:
                 for c, x in enumerate(cols):
                     out[r, c] = seen[x][0] if x in seen else NEVER
-        return out
-
-    def backtrace(self, s: str, base: int, lo: int, hi: int, end: int, entry: int, exit_: int) -> list[int]:
-        """Ids of the pieces after the entry's, up to the exit's with it."""
-        a, b = self.entries(s, base, lo)[entry], self.exits(s, base, hi, end)[exit_]
-        if not (cut := self.anchors(s, base, lo + 1, hi - 1)):
-            return self.trace(s, base, a, b, hi) if a != b else []
-        seen = self.paths(s, base, a, cut[0])
-        if a[1] == cut[0]:
-            head = []
-        else:
-            last = max((n for n in seen if n[1] == cut[0]), key=lambda n: seen[n][0])
-            head = self.trace(s, base, a, last, cut[0])
-        return head + self.middle(s, base, *cut) + self.trace(s, base, (cut[1], cut[1]), b, hi)
+        return out, inner, cut
+
+    def edges(self, s: str, base: int, hi: int, cut: tuple[int, int] | None) -> tuple[str, str, int]:
+        """What a backtrace needs of s: up to the first anchor, from the last one on, and the latter's start."""
+        if not cut:
+            return s, "", base
+        at = max(base, min(cut[1], hi - self.longest))
+        return s[: cut[0] - base + self.longest], s[at - base :], at
+
+    def backtrace(self, chunk: dict, entry: int, exit_: int) -> tuple[list[int], list[int]]:
+        """Ids before and after those between the anchors: of the pieces after the entry's, up to the exit's with it."""
+        base, lo, hi, end, s = (chunk[c] for c in ("base", "lo", "hi", "end", "s"))
+        a = self.entries(s, base, lo)[entry]
+        if chunk["cut0"] is None:
+            b = self.exits(s, base, hi, end)[exit_]
+            return (self.trace(s, base, a, b, hi) if a != b else []), []
+        first, last, s2, base2 = (chunk[c] for c in ("cut0", "cut1", "s2", "base2"))
+        b = self.exits(s2, base2, hi, end)[exit_]
+        head = []
+        if a[1] != first:
+            seen = self.paths(s, base, a, first)
+            head = self.trace(s, base, a, max((n for n in seen if n[1] == first), key=lambda n: seen[n][0]), first)
+        return head, self.trace(s2, base2, (last, last), b, hi)
 
     def encode(self, text: str) -> list[int]:
         """A scan of one chunk: no cut, so all of it is the part without states."""
         return self.sp.encode(text, num_threads=1)
 
-    def decode(self, ids) -> str:
-        whole = b"".join(self.text[i] for i in ids)
-        return whole.decode("utf-8", "replace").removeprefix(" ")
-
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Matrix product in the max-plus semiring; associative."""
     return (a[:, :, None] + b[None, :, :]).max(1) if a.size and b.size else np.full((a.shape[0], b.shape[1]), NEVER)
 
 
-def _pack(m: np.ndarray) -> dict:
-    return {"rows": m.shape[0], "cols": m.shape[1], "cells": m.ravel().tolist()}
+def states_between(ms: list[np.ndarray], entry: int, exit_: int | None) -> list[int]:
+    """The state before each matrix and after the last, on the best way from entry to exit."""
+    best = [np.where(np.arange(ms[0].shape[0]) == entry, 0.0, NEVER)]
+    for m in ms:
+        best.append((best[-1][:, None] + m).max(0))
+    at = [int(best[-1].argmax()) if exit_ is None else exit_]
+    for v, m in zip(reversed(best[:-1]), reversed(ms), strict=True):
+        at.append(int((v + m[:, at[-1]]).argmax()))
+    return at[::-1]
 
 
 @lru_cache(1)
@@ -194,22 +233,43 @@ def _load(model):
     return lambda: piece_model(model.value)
 
 
-def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows one by one: of a batch of long texts only one is a Python object at a time."""
-    return (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows))
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
+def _matrix(row: dict) -> np.ndarray:
+    return np.frombuffer(row["cells"]).reshape(row["rows"], row["cols"])
 
 
 def normalise(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""
 
 
+PACKED = "rows int, cols int, cells binary"
+EDGES = "s string, s2 string, base long, base2 long, lo long, hi long, end long, cut0 long, cut1 long, middle array<int>"
+
+
+def _batch(kind: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, kind)
+
+
+def _kind(ddl: str) -> pa.Schema:
+    known = {"int": pa.int32(), "long": pa.int64(), "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
+    return pa.schema([(c.split()[0], known[c.split()[1]]) for c in ddl.split(", ")])
+
+
 def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """One row per row of docs: id, text_sha256 (of the whole text), ids.
 
     The ids are the library's for the whole text, without begin or end. Null text counts as
     empty and has no ids. Repeated rows give repeated rows. An empty table gives no rows.
+    A text's chunks are spread over all tasks; its ids, one value of the result, meet in one.
     """
     spark = docs.sparkSession
+    scratch = Scratch(spark)
     get = _load(spark.sparkContext.broadcast(model))
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -218,89 +278,115 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
+            for lo, n in text_slices(batch.column("t"), SLICE, SLICE_BYTES):
+                part = batch.slice(lo, n)
                 ids = [get().encode(t) for t in part.column("t").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("sha"), pa.array(ids, pa.list_(pa.int32()))], ["id", "text_sha256", "ids"])
+            give_back()
 
     small = base.where(~giant).mapInArrow(whole, f"id {kind}, text_sha256 string, ids array<int>")
 
+    cuts = "row long, chunk long, s string, base long, lo long, hi long, end long"
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "id", "sha", "copies", "chunk", "s", "base", "lo", "hi", "end"]
-        for batch in batches:
-            for row in _rows(batch):
-                s, reach = normalise(row["t"]), get().longest
-                for c, lo in enumerate(range(0, len(s), chunk_chars)):
-                    hi, at = min(len(s), lo + chunk_chars), max(0, lo - reach)
-                    part = [row["key"], row["id"], row["sha"], row["copies"], c, s[at : hi + reach], at, lo, hi, len(s)]
-                    yield pa.RecordBatch.from_arrays([pa.array([v], batch.column(1).type if k == 1 else None) for k, v in enumerate(part)], names)
-
-    shape = f"key string, id {kind}, sha string, copies long, chunk long, s string, base long, lo long, hi long, end long"
-    key = F.concat("sha", F.coalesce(F.concat(F.lit(":"), F.col("id").cast("string")), F.lit("")))  # never null, so null ids join too
-    texts = base.where(giant).groupBy(key.alias("key")).agg(F.first("id").alias("id"), F.first("sha").alias("sha"), F.first("t").alias("t"), F.count("*").alias("copies"))
-    chunks = texts.mapInArrow(cut, shape).repartition("key", "chunk")
-
-    def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = pa.struct([("rows", pa.int32()), ("cols", pa.int32()), ("cells", pa.list_(pa.float64()))])
+        for row in _rows(batches):
+            s, reach = normalise(row["t"]), get().longest
+            for c, lo in enumerate(range(0, len(s), chunk_chars)):
+                hi, at = min(len(s), lo + chunk_chars), max(0, lo - reach)
+                yield _batch(_kind(cuts), [{"row": row["row"], "chunk": c, "s": s[at : hi + reach], "base": at, "lo": lo, "hi": hi, "end": len(s)}])
+
+    # Numbers of rows are of one run only, so they are read from a table.
+    numbered = base.where(giant).withColumn("row", F.monotonically_increasing_id())
+    named = scratch.table(numbered.select("row", "id", "sha"), "texts")
+    chunks = numbered.select("row", "t").mapInArrow(cut, cuts).repartition("row", "chunk")
+    scanned = f"row long, chunk long, {PACKED}, {EDGES}"
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            m = [_pack(get().matrix(r["s"], r["base"], r["lo"], r["hi"], r["end"])) for r in _rows(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("chunk"), pa.array(m, cells)], ["key", "chunk", "m"])
-
-    packed = "m struct<rows:int,cols:int,cells:array<double>>"
-    local = chunks.mapInArrow(matrices, f"key string, chunk long, {packed}").withColumn("part", F.floor(F.col("chunk") / GROUP_CHUNKS))
-    unpack = lambda m: np.array(m["cells"], float).reshape(m["rows"], m["cols"])
-
-    def product(df: pd.DataFrame) -> pd.DataFrame:
-        df, m = df.sort_values("chunk"), None
-        for x in df["m"]:
-            m = unpack(x) if m is None else times(m, unpack(x))
-        return pd.DataFrame({"key": [df["key"].iat[0]], "part": [df["part"].iat[0]], "m": [_pack(m)]})
-
-    def states(ms: list[np.ndarray], entry: int, exit_: int | None) -> list[int]:
-        """The state before each matrix and after the last, on the best way from entry to exit."""
-        best = [np.where(np.arange(ms[0].shape[0]) == entry, 0.0, NEVER)]
-        for m in ms:
-            best.append((best[-1][:, None] + m).max(0))
-        at = [int(best[-1].argmax()) if exit_ is None else exit_]
-        for v, m in zip(reversed(best[:-1]), reversed(ms), strict=True):
-            at.append(int((v + m[:, at[-1]]).argmax()))
-        return at[::-1]
-
-    def over_parts(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("part")
-        at = states([unpack(m) for m in df["m"]], 0, None)
-        return pd.DataFrame({"key": df["key"], "part": df["part"], "a": at[:-1], "b": at[1:]})
-
-    def over_chunks(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("chunk")
-        at = states([unpack(m) for m in df["m"]], int(df["a"].iat[0]), int(df["b"].iat[0]))
-        return pd.DataFrame({"key": df["key"], "chunk": df["chunk"], "entry": at[:-1], "exit": at[1:]})
-
-    parts = local.groupBy("key", "part").applyInPandas(product, f"key string, part long, {packed}")
-    ends = parts.groupBy("key").applyInPandas(over_parts, "key string, part long, a int, b int")
-    ways = local.join(ends, ["key", "part"]).groupBy("key", "part").applyInPandas(over_chunks, "key string, chunk long, entry int, exit int")
-
-    def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for r in _rows([batch]):
+                m, middle, at = get().scan(r["s"], r["base"], r["lo"], r["hi"], r["end"])
+                s, s2, base2 = get().edges(r["s"], r["base"], r["hi"], at)
+                first, last = at or (None, None)
+                yield _batch(_kind(scanned), [r | {"rows": m.shape[0], "cols": m.shape[1], "cells": m.tobytes(), "s": s, "s2": s2, "base2": base2, "cut0": first, "cut1": last, "middle": middle}])
+            give_back()
+
+    local = scratch.table(chunks.mapInArrow(scan, scanned), "chunks")
+    matrices = local.select("row", F.floor(F.col("chunk") / GROUP_CHUNKS).alias("part"), "chunk", "rows", "cols", "cells")
+
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (row, part), group in groupby(_rows(batches), lambda r: (r["row"], r["part"])):
+            m = None
+            for r in group:
+                m = _matrix(r) if m is None else times(m, _matrix(r))
+            yield _batch(_kind(f"row long, part long, {PACKED}"), [{"row": row, "part": part, "rows": m.shape[0], "cols": m.shape[1], "cells": m.tobytes()}])
+
+    def over_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, group in groupby(_rows(batches), lambda r: r["row"]):
+            group = list(group)
+            at = states_between([_matrix(r) for r in group], 0, None)
+            yield _batch(_kind("row long, part long, a int, b int"), [{"row": row, "part": r["part"], "a": a, "b": b} for r, a, b in zip(group, at, at[1:], strict=False)])
+
+    def over_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (row, _), group in groupby(_rows(batches), lambda r: (r["row"], r["part"])):
+            group = list(group)
+            at = states_between([_matrix(r) for r in group], group[0]["a"], group[0]["b"])
+            yield _batch(_kind("row long, chunk long, entry int, exit int"), [{"row": row, "chunk": r["chunk"], "entry": a, "exit": b} for r, a, b in zip(group, at, at[1:], strict=False)])
+
+    parts = matrices.repartition("row", "part").sortWithinPartitions("row", "part", "chunk").mapInArrow(product, f"row long, part long, {PACKED}")
+    ends = parts.repartition("row").sortWithinPartitions("row", "part").mapInArrow(over_parts, "row long, part long, a int, b int")
+    ways = matrices.join(ends, ["row", "part"]).repartition("row", "part").sortWithinPartitions("row", "part", "chunk").mapInArrow(over_chunks, "row long, chunk long, entry int, exit int")
+
+    # A chunk's way stands before the chunk; each is traced by itself.
+    result = f"id {kind}, text_sha256 string, ids array<int>"
+    told = ways.unionByName(named.withColumn("chunk", F.lit(-1).cast("long")), allowMissingColumns=True)
+    ready = local.drop("rows", "cols", "cells").unionByName(told, allowMissingColumns=True).repartition("row").sortWithinPartitions("row", "chunk", F.col("entry").isNull())
+
+    def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, name, way = [], None, None
+
+        def flush() -> pa.RecordBatch:
+            ids = pa.ListArray.from_arrays(np.array([0, sum(map(len, done))], np.int32), np.concatenate(done) if done else np.zeros(0, np.int32))
+            return pa.RecordBatch.from_arrays([*name, ids], ["id", "text_sha256", "ids"])
+
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE):
-                part = batch.slice(lo, SLICE)
-                ids = [get().backtrace(r["s"], r["base"], r["lo"], r["hi"], r["end"], r["entry"], r["exit"]) for r in _rows(part)]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in ("key", "id", "sha", "copies", "chunk")), pa.array(ids, pa.list_(pa.int32()))], ["key", "id", "sha", "copies", "chunk", "ids"])
-
-    traced = chunks.join(ways, ["key", "chunk"]).mapInArrow(back, f"key string, id {kind}, sha string, copies long, chunk long, ids array<int>")
-    joined = traced.groupBy("key").agg(F.first("id").alias("id"), F.first("sha").alias("sha"), F.first("copies").alias("copies"), F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("c"))
-    large = joined.select("id", F.col("sha").alias("text_sha256"), F.flatten(F.col("c.ids")).alias("ids"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+            for k, r in enumerate(_rows([batch.drop_columns(["middle"])])):
+                if r["chunk"] < 0:
+                    if name is not None:
+                        yield flush()
+                    name, done = [batch.column(c).slice(k, 1) for c in ("id", "sha")], []
+                elif r["entry"] is not None:
+                    way = (r["entry"], r["exit"])
+                else:
+                    head, tail = get().backtrace(r, *way)
+                    between = batch.column("middle")[k].values.to_numpy(zero_copy_only=False)
+                    done += [np.array(head, np.int32), between.astype(np.int32), np.array(tail, np.int32)]
+            give_back()
+        if name is not None:
+            yield flush()
+
+    large = ready.mapInArrow(trace, result)
     return small.unionByName(large).withColumnRenamed("id", id_col)
 
 
 def sp_decode(tokens: DataFrame, model: bytes) -> DataFrame:
     """tokens with a column decoded: the text of ids, without the added leading space. Null ids give an empty text."""
-    get = _load(tokens.sparkSession.sparkContext.broadcast(model))
+    shared = tokens.sparkSession.sparkContext.broadcast(piece_bytes(model))
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces = pa.array(shared.value, pa.binary())
         for ids in batches:
-            yield pa.array((get().decode(x.values.to_numpy().tolist() if x.is_valid else []) for x in ids), pa.string())
+            out = []
+            lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for lo, n in runs(lengths, SLICE, SLICE_BYTES):
+                part, sizes = ids.slice(lo, n), lengths[lo : lo + n]
+                taken = pieces.take(part.flatten())
+                ends = np.frombuffer(taken.buffers()[1], np.int32, len(taken) + 1, taken.offset * 4)[np.concatenate([[0], np.cumsum(sizes)])]
+                whole = taken.buffers()[2]
+                whole = whole.to_pybytes() if whole else b""
+                out.append(pa.array([whole[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends, ends[1:], strict=False)], pa.string()))
+            give_back()
+            yield pa.concat_arrays(out) if out else pa.array([], pa.string())
 
     return tokens.withColumn("decoded", decode("ids"))
 
@@ -313,7 +399,7 @@ def default_model(path: str | None = None) -> bytes:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document encoded and decoded again: digests of ids and text.
+    """Every document encoded, and decoded again.
 
     The model writes a literal U+2581 as a space, so the round trip is held against the text with that done.
     """
@@ -321,6 +407,6 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.translate(F.coalesce("text", F.lit("")), SPACE, " ").alias("text"))
     tokens = sp_decode(sp_encode(docs, model), model)
     return tokens.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.length("decoded").cast("long").alias("n_chars"), (F.sha2(F.col("decoded").cast("binary"), 256) == F.col("text_sha256")).alias("round_trip"),
     )

@@ -195,15 +195,14 @@ def test_scan_equals_library(model):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 120)))
         s, size = sps.normalise(text), rng.choice([1, 2, 3, 5, 9, 16, 33])
         cuts = [(max(0, lo - m.longest), lo, min(len(s), lo + size)) for lo in range(0, len(s), size)]
-        ms = [m.matrix(s[a : hi + m.longest], a, lo, hi, len(s)) for a, lo, hi in cuts]
-        best = [np.zeros(1)]
-        for x in ms:
-            best.append((best[-1][:, None] + x).max(0))
-        at = [int(best[-1].argmax())]
-        for v, x in zip(reversed(best[:-1]), reversed(ms), strict=True):
-            at.append(int((v + x[:, at[-1]]).argmax()))
-        at = at[::-1]
-        ids = [i for (a, lo, hi), e, x in zip(cuts, at, at[1:], strict=False) for i in m.backtrace(s[a : hi + m.longest], a, lo, hi, len(s), e, x)]
+        scans = [m.scan(s[a : hi + m.longest], a, lo, hi, len(s)) for a, lo, hi in cuts]
+        ms = [x for x, _, _ in scans]
+        at, ids = sps.states_between(ms, 0, None), []
+        for (a, lo, hi), (_, middle, cut), e, x in zip(cuts, scans, at, at[1:], strict=False):
+            first, s2, base2 = m.edges(s[a : hi + m.longest], a, hi, cut)
+            chunk = {"s": first, "s2": s2, "base": a, "base2": base2, "lo": lo, "hi": hi, "end": len(s), "cut0": cut and cut[0], "cut1": cut and cut[1]}
+            head, tail = m.backtrace(chunk, e, x)
+            ids += head + middle + tail
         assert ids == m.sp.encode(text)
         if len(ms) > 2:
             left, right = sps.times(sps.times(ms[0], ms[1]), ms[2]), sps.times(ms[0], sps.times(ms[1], ms[2]))
@@ -211,10 +210,21 @@ def test_scan_equals_library(model):
 
 
 def test_encode_and_decode(spark, model):
-    m = sps.PieceModel(model)
     long = " ".join(f"the{k} ending\n" for k in range(900)) + "y" * 500
     rows = [*AWKWARD[:8], (9, long), (9, long), (None, long + "!"), (None, long + "!"), (10, "z" + " " * 700 + "\U0001f600")]
-    got = sps.sp_decode(sps.sp_encode(docs(spark, rows), model, chunk_chars=257), model).collect()
+    check_round_trip(spark, model, rows, 257)
+
+
+def test_long_texts_at_the_production_chunk_size(spark, model):
+    rng = random.Random(11)
+    words = [rng.choice(["the", "Über", "naïve", "中文字", "x9", "end.", "\n", " ", "<0x0A>", "</s>"]) + "e" * rng.randint(0, 3) for _ in range(60_000)]
+    rows = [(1, " ".join(words)), (2, "y" * 40_000), (3, "ab" * 17_000 + " tail"), (4, "é" * sps.CHUNK_CHARS), (5, " " * 20_000), (6, "w " * 8192 + "z")]
+    check_round_trip(spark, model, rows, sps.CHUNK_CHARS)
+
+
+def check_round_trip(spark, model, rows, chunk_chars):
+    m = sps.PieceModel(model)
+    got = sps.sp_decode(sps.sp_encode(docs(spark, rows), model, chunk_chars=chunk_chars), model).collect()
     assert len(got) == len(rows)
     want = {hashlib.sha256((t or "").encode()).hexdigest(): (m.sp.encode(t or ""), t or "") for _, t in rows}
     for r in got:
