@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import give_back, text_slices
+
 MIN_TILE = 5
 COVERAGE = 0.75
 #: The benchmark goes to the executors in blocks of so many characters at most, or one item.
@@ -222,7 +224,9 @@ def benchmark_matches(benchmark: DataFrame, text: Column, coverage: float = COVE
         @F.arrow_udf(MATCH)
         def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
-                yield pa.array([shared.value.matches(t) for t in texts.to_pylist()], kind)
+                found = [shared.value.matches(t) for lo, n in text_slices(texts) for t in texts.slice(lo, n).to_pylist()]
+                give_back()
+                yield pa.array(found, kind)
 
         return find(F.coalesce(text, F.lit("")))
 

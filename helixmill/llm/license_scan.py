@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import give_back, text_slices
+
 CONTAINMENT = 0.8
 #: Phrases that count as base places, with their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -125,12 +127,14 @@ def _block_counter(vocabulary: frozenset[bytes]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[bytes] = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            texts = batch.column(0)
+            for text in (t for lo, n in text_slices(texts) for t in texts.slice(lo, n).to_pylist()):
                 whole = (text or "").encode("utf-8", "surrogatepass").lower()
                 if vocabulary.isdisjoint(_WORD.findall(whole)):
                     continue
                 for line in whole.split(b"\n"):
                     total.update(vocabulary.intersection(_WORD.findall(line)))
+            give_back()
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
 
     return count
@@ -192,7 +196,9 @@ def license_scan(
         wrapped = pa.list_(pa.struct([("template", pa.int32()), ("label", pa.string()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("overlap", pa.int32()), ("containment", pa.float64())]))
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), found, wrapped]
         for batch in batches:
-            rows = [scan(t) for t in batch.column("t").to_pylist()]
+            texts = batch.column("t")
+            rows = [scan(t) for lo, n in text_slices(texts) for t in texts.slice(lo, n).to_pylist()]
+            give_back()
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[c] for r in rows], k) for c, k in zip([*cols, "found", "wrapped"], kinds, strict=True))], [id_col, *cols, "found", "wrapped"])
 
     return docs.select(F.col(id_col), F.col(text_col).alias("t")).mapInArrow(run, f"{id_col} {kind}, {OUT}")

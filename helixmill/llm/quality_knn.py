@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out
+from .common import give_back, held_out, text_slices
 from .labelled import training_ids, training_texts
 
 #: Bound of the labelled sample, and so of what is broadcast: MAX_ROWS x RANK floats.
@@ -131,19 +131,25 @@ def quality_score(spark: SparkSession, model: LatentVoter, text: Column) -> Colu
     @F.arrow_udf(T.DoubleType())
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(shared.value.score_texts(texts.to_pylist()), pa.float64())
+            scores = [shared.value.score_texts(texts.slice(lo, n).to_pylist()) for lo, n in text_slices(texts, BLOCK)]
+            give_back()
+            yield pa.array(np.concatenate(scores) if scores else [], pa.float64())
 
     return score(F.coalesce(text, F.lit("")))
 
 
-def quality_classifier(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, target: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
-    """docs with score and predicted (1 if score >= threshold) added, replacing columns of those names.
+def quality_classifier(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.5, target: str = "quality", max_rows: int = MAX_ROWS,
+    score_col: str = "score", predicted_col: str = "predicted",
+) -> DataFrame:
+    """docs with score_col and predicted_col (1 if the score >= threshold) added, replacing columns of those names.
 
     Null and empty texts get the share of label 1 in the sample, as does all without labels
     (then 0.5). An empty table stays empty; repeated rows get equal scores.
     """
     model = fit_quality(docs, labels, target, max_rows)
-    return docs.withColumn("score", quality_score(docs.sparkSession, model, F.col("text"))).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    scored = docs.withColumn(score_col, quality_score(docs.sparkSession, model, F.col("text")))
+    return scored.withColumn(predicted_col, (F.col(score_col) >= threshold).cast("int"))
 
 
 def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

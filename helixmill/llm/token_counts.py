@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import path_exists, shared_folder
+from .common import give_back, path_exists, shared_folder, text_slices
 
 CACHE_SCHEMA = "digest string, n_tokens long"
 #: Up to so many missing digests (64 bytes each) are broadcast to keep texts with stored counts out of the shuffle.
@@ -63,7 +63,9 @@ def _counter(model):
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         for batch in batches:
-            n = [len(sp.encode(t, num_threads=1)) for t in batch.column("t").to_pylist()]
+            texts = batch.column("t")
+            n = [len(sp.encode(t, num_threads=1)) for lo, size in text_slices(texts) for t in texts.slice(lo, size).to_pylist()]
+            give_back()
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(n, pa.int64())], ["digest", "n_tokens"])
 
     return count

@@ -399,3 +399,27 @@ def test_pipeline(spark, tmp_path):
     out = cp.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in out} == {i for i, _ in clean[1:]} | {100, None} and all(r["round_trip"] for r in out)
     assert sum(r["doc_id"] is None for r in out) == 2
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    docs(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert cp.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_stages_where_ids_repeat(spark):
+    import corpus_pipeline as cp
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(7, a), (7, a), (7, b), (8, a + " w"), (9, b), (None, c), (None, c)]
+    kept = cp.exact(spark, docs(spark, rows), "")
+    assert rows_of(kept, "doc_id", "text") == sorted([(7, a), (8, a + " w"), (9, b), (None, c)], key=str) and kept.columns == docs(spark, []).columns
+    assert rows_of(cp.near(spark, docs(spark, rows), ""), "doc_id", "text") == sorted([(7, a), (7, b), (None, c)], key=str)
+    scored = docs(spark, [(1, a), (2, "")]).withColumn("score", F.lit(123.0)).withColumn("predicted", F.lit(5))
+    good = scored.select("doc_id", F.lit(1).alias("quality"))
+    path = f"{cp.Scratch(spark).root}"
+    good.write.parquet(f"{path}/labels.parquet")
+    assert {(r["score"], r["predicted"]) for r in cp.quality(spark, scored, path).collect()} == {(123.0, 5)}
