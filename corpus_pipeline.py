@@ -16,28 +16,38 @@ from helixmill.llm.setsketch import near_duplicates
 ORACLE_SQL = None
 
 
-def _one_row_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is among ids; of rows that share an id one stays, of rows without an id all."""
-    named, nameless = docs.where("doc_id is not null"), docs.where("doc_id is null")
-    kept = named.join(ids, "doc_id", "left_semi")
-    repeated = named.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return (kept.dropDuplicates(["doc_id"]) if repeated else kept).unionByName(nameless)
+_ROW = "__row"
+
+
+def _rows_by_number(spark: SparkSession, docs: DataFrame) -> DataFrame | None:
+    """docs with a number for each row, where doc_id doesn't name rows: it repeats, or is null somewhere."""
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        return None
+    return Scratch(spark).table(docs.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the classifier rejects."""
-    scored = quality_classifier(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where("predicted = 1").select(*docs.columns)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality_classifier(docs, labels, score_col="__quality", predicted_col="__good")
+    return scored.where("__good = 1").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row of the largest doc_id stays."""
-    return _one_row_each(docs, exact_dedup(docs).where("kept").select("doc_id").distinct()).select(*docs.columns)
+    """Of equal texts the row of the largest doc_id stays, of rows that share it too just one; null is the least id."""
+    if (rows := _rows_by_number(spark, docs)) is None:
+        return docs.join(exact_dedup(docs).where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    decided = exact_dedup(rows.select(F.struct("doc_id", _ROW).alias("id"), "text"), "id").where("kept")
+    return rows.join(decided.select(F.col(f"id.{_ROW}").alias(_ROW)), _ROW, "left_semi").select(*docs.columns)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the smallest doc_id stays."""
-    return _one_row_each(docs, near_duplicates(docs).where("kept").select("doc_id").distinct()).select(*docs.columns)
+    """Of each component of near duplicates the row of the smallest doc_id stays; null is the largest id."""
+    if (rows := _rows_by_number(spark, docs)) is None:
+        return docs.join(near_duplicates(docs).where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    found = near_duplicates(rows, _ROW).select(_ROW, "component_id").join(rows.select(_ROW, "doc_id"), _ROW)
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", _ROW)).alias("first"))
+    return rows.join(first.select(F.col(f"first.{_ROW}").alias(_ROW)), _ROW, "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -288,3 +288,20 @@ def test_every_sample_is_balanced(spark):
                     total[b] += r["count"] * w[r["bin1"]] * w[r["bin2"]]
         assert {(r["status"], r["variance"] < 1e-5) for r in got if r["sample"] == s} == {("PASS", True)}
         assert np.var(list(total.values())) < 1e-5 and abs(np.mean(list(total.values())) - 1) < 1e-6
+
+
+def test_library_without_the_training_data_subpackage(tmp_path):
+    import pathlib
+    import shutil
+    import subprocess
+    import sys
+
+    root = pathlib.Path(__file__).resolve().parents[1]
+    shutil.copytree(root / "helixmill", tmp_path / "helixmill", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 100 and set(e.oracle_sql()) <= set(q) and not any(k.startswith('op') or k == 'pipeline' for k in q)"
+    for leftover in (False, True):  # the pipeline's file may be left behind
+        if leftover:
+            (tmp_path / "corpus_pipeline.py").write_text("from helixmill.llm.common import Scratch")
+        done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+        assert done.returncode == 0, done.stderr
