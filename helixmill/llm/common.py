@@ -145,6 +145,15 @@ def filter_bits(n_keys: int) -> int | None:
     return bits if bits <= MAX_BITS else None
 
 
+def without(rows: DataFrame, gone: DataFrame, key: str, scratch: Scratch, name: str) -> DataFrame:
+    """rows whose key, never null, isn't in gone (key). Only rows that the filter can't tell are shuffled."""
+    if (bits := filter_bits(gone.count())) is None:
+        return rows.join(gone, key, "left_anti").select(*rows.columns)
+    marked = with_maybe(rows, key, scratch.table(key_bitmap(gone, key, bits), name), bits, "bm_maybe")
+    perhaps = marked.where("bm_maybe").select(*rows.columns).join(gone, key, "left_anti").select(*rows.columns)
+    return marked.where("not bm_maybe").select(*rows.columns).unionByName(perhaps)
+
+
 def sift(rows: DataFrame, keys: DataFrame, key: str, scratch: Scratch, name: str) -> DataFrame:
     """rows without most of those whose key isn't among keys; a join decides about the others.
 

@@ -85,7 +85,10 @@ class LatentVoter:
         return np.divide(x, n, out=np.zeros_like(x), where=n > 0)
 
     def _weigh(self, counts: np.ndarray) -> np.ndarray:
-        return self._unit(np.log1p(counts) * self.idf)
+        x = np.log1p(counts)
+        x *= self.idf
+        n = np.linalg.norm(x, axis=1, keepdims=True)
+        return np.divide(x, n, out=x, where=n > 0)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         """The share of label 1 among the nearest, weighted by cosine; the prior where nothing is similar."""
@@ -117,11 +120,11 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_quality(docs: DataFrame, labels: DataFrame, target: str = "quality", max_rows: int = MAX_ROWS) -> LatentVoter:
     """Fits on at most max_rows labelled documents; their sparse counts come to the driver, texts don't."""
     sample = training_texts(docs, training_ids(docs, labels, target, max_rows)).mapInArrow(_sparse, "doc_id long, y int, i array<int>, v array<float>")
-    rows = sorted(sample.collect(), key=lambda r: r["doc_id"])
+    rows = sample.toArrow().sort_by("doc_id").combine_chunks()  # lists of numbers stay packed
     counts = np.zeros((len(rows), TERMS), np.float32)
-    for k, r in enumerate(rows):
-        counts[k, r["i"]] = r["v"]
-    return LatentVoter(counts, np.array([r["y"] for r in rows], np.int64))
+    for k, (i, v) in enumerate(zip(rows["i"], rows["v"], strict=True)):
+        counts[k, i.values.to_numpy()] = v.values.to_numpy()
+    return LatentVoter(counts, rows["y"].to_numpy().astype(np.int64))
 
 
 def quality_score(spark: SparkSession, model: LatentVoter, text: Column) -> Column:

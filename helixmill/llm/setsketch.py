@@ -21,7 +21,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -230,15 +229,34 @@ def rare_sharers(nodes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return out
 
 
-def _compare_blocks(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with equal keys, as they stand; a run may go over several batches."""
+    begun: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(c).to_numpy() for c in keys], 1)
+        starts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(starts, starts[1:], strict=False):
+            part = batch.slice(lo, hi - lo)
+            if begun and any(begun[-1].column(c)[0] != part.column(c)[0] for c in keys):
+                yield pa.concat_batches(begun) if len(begun) > 1 else begun[0]
+                begun = []
+            begun.append(part)
+    if begun:
+        yield pa.concat_batches(begun) if len(begun) > 1 else begun[0]
+
+
+def _compare_blocks(group: pa.RecordBatch) -> list[tuple[int, int]]:
     """Links between members of different components: block i with block j of one bucket.
 
     Within the task, members that a found link has joined are not compared again.
     """
-    i, j = int(left["i"].iat[0]), int(left["j"].iat[0])
-    left = left.sort_values("node").drop_duplicates("node")
-    ids, comp, block, size = (left[c].to_numpy() for c in ("node", "component", "block", "n"))
-    regs, sets = np.stack([np.frombuffer(x, np.uint16) for x in left["sketch"]]), left["shingles"].to_numpy()
+    ids, comp, block, size = (group.column(c).to_numpy() for c in ("node", "component", "block", "n"))
+    if (comp == comp[0]).all():
+        return []
+    i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+    regs, shingles = np.stack(_unpack(group.column("sketch"), np.uint16)), group.column("shingles")
     parent = {c: c for c in set(comp.tolist())}
 
     def find(c: int) -> int:
@@ -259,12 +277,20 @@ def _compare_blocks(key: tuple, left: pd.DataFrame) -> pd.DataFrame:
             continue
         a, b = regs[x], regs[ys]
         near = ys[hopeful(likely_similarity((a > b).sum(1), (a < b).sum(1), np.full(len(ys), size[x]), size[ys]))]
-        mine = np.frombuffer(sets[x], np.uint64)
+        mine = np.frombuffer(shingles[x].as_py(), np.uint64)
         for y in near:
-            if find(int(comp[x])) != find(int(comp[y])) and linked(mine, np.frombuffer(sets[y], np.uint64)):
-                out.append((ids[x], ids[y]))
+            if find(int(comp[x])) != find(int(comp[y])) and linked(mine, np.frombuffer(shingles[y].as_py(), np.uint64)):
+                out.append((int(ids[x]), int(ids[y])))
                 parent[find(int(comp[x]))] = find(int(comp[y]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    return out
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for group in _groups(batches, ["key", "i", "j"]):
+        if found := _compare_blocks(group):
+            a, b = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    give_back()
 
 
 def _late_links(named: DataFrame, sets: DataFrame, scratch: Scratch, pairs_a_member: int) -> DataFrame:
@@ -287,7 +313,7 @@ def _late_links(named: DataFrame, sets: DataFrame, scratch: Scratch, pairs_a_mem
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tasks = dealt.select("key", "node", "component", "block", other).select("key", "node", "component", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     loaded = tasks.join(sets, "node")
-    return loaded.groupBy("key", "i", "j").applyInPandas(_compare_blocks, "a long, b long").distinct()
+    return loaded.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pairs_a_member: int = PAIRS_A_MEMBER) -> DataFrame:
