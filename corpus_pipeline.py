@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixmill.llm.common import Scratch
+from helixmill.llm.common import Scratch, without
 from helixmill.llm.decontaminate import benchmark_matches
 from helixmill.llm.exact_dedup import exact_dedup
 from helixmill.llm.quality_knn import quality_classifier
@@ -26,6 +26,12 @@ def _rows_by_number(spark: SparkSession, docs: DataFrame) -> DataFrame | None:
     return Scratch(spark).table(docs.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
 
 
+def _without(spark: SparkSession, docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """docs without the ids of rows of decided that are not kept."""
+    scratch = Scratch(spark)
+    return without(docs, scratch.table(decided.where("not kept").select("doc_id"), "gone"), "doc_id", scratch, "gone-bits")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what the classifier rejects."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -36,7 +42,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row of the largest doc_id stays, of rows that share it too just one; null is the least id."""
     if (rows := _rows_by_number(spark, docs)) is None:
-        return docs.join(exact_dedup(docs).where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+        return _without(spark, docs, exact_dedup(docs))
     decided = exact_dedup(rows.select(F.struct("doc_id", _ROW).alias("id"), "text"), "id").where("kept")
     return rows.join(decided.select(F.col(f"id.{_ROW}").alias(_ROW)), _ROW, "left_semi").select(*docs.columns)
 
@@ -44,7 +50,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the row of the smallest doc_id stays; null is the largest id."""
     if (rows := _rows_by_number(spark, docs)) is None:
-        return docs.join(near_duplicates(docs).where("kept").select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+        return _without(spark, docs, near_duplicates(docs))
     found = near_duplicates(rows, _ROW).select(_ROW, "component_id").join(rows.select(_ROW, "doc_id"), _ROW)
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", _ROW)).alias("first"))
     return rows.join(first.select(F.col(f"first.{_ROW}").alias(_ROW)), _ROW, "left_semi").select(*docs.columns)
