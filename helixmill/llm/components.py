@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 
+#: Edges a task of the rounds takes; a table of few edges is one file, whatever the shuffle's partitions.
+EDGES_A_TASK = 1_000_000
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(id, component): the smallest id reachable, for every id in edges (a, b). No edges, no rows.
 
@@ -15,22 +19,19 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     gathered, only their minimum is taken and joined back.
     """
     both = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    now = scratch.table(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
-    last, k = None, 0
-    while True:
-        k += 1
+    turned = lambda e: e.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    after = scratch.table(turned(edges.select("a", "b")), f"{name}-0")
+    few, last, k = 1 + after.count() // EDGES_A_TASK, None, 0
+    while (seen := after.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()) != last and seen[0]:
+        now, last, k = after, seen, k + 1
         linked = both(now)
         least = linked.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = linked.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.where("m < a").select("a", F.col("m").alias("b")))
-        large = scratch.table(large.where("a <> b").distinct(), f"{name}-{k}l")
+        large = scratch.table(large.where("a <> b").distinct().coalesce(few), f"{name}-{k}l")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        after = scratch.table(small.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-{k}")
+        after = scratch.table(turned(small).coalesce(few), f"{name}-{k}")
         scratch.drop(f"{name}-{k}l", f"{name}-{k - 1}")
-        seen = after.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if seen == last or not seen[0]:
-            break
-        last, now = seen, after
     roots = after.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
     return after.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, ascii_lower, filter_bits, key_bitmap, with_maybe
 
 PREFIX_CHARS = 128
+ROWS_A_FILE = 1_000_000
 
 
 def exact_dedup(
@@ -31,18 +32,19 @@ def exact_dedup(
     text = ascii_lower(F.col(text_col))
     base = docs.select(F.col(id_col).alias("id"), text.alias("t"))
     sized = base.select("id", F.octet_length("t").cast("long").alias("len"), F.xxhash64(F.substring("t", 1, prefix_chars)).alias("pre"), "t")
-    keys = scratch.table(sized.drop("t"), "keys")
+    keys = scratch.table(sized.drop("t").hint("rebalance"), "keys")  # small rows: not a file for each task that reads texts
+    few = 1 + keys.count() // ROWS_A_FILE
     lengths = keys.groupBy("len").count().where("count > 1").drop("count")
     alive = keys.join(lengths, "len", "left_semi").groupBy("len", "pre").count().where("count > 1").select(F.xxhash64("len", "pre").alias("key"))
-    alive = scratch.table(alive, "surviving")
+    alive = scratch.table(alive.coalesce(few), "surviving")
     if bits := filter_bits(alive.count()):
         marked = with_maybe(sized.withColumn("key", F.xxhash64("len", "pre")), "key", scratch.table(key_bitmap(alive, "key", bits), "bitmap"), bits, "alive")
     else:  # too many groups survive for a filter of bounded size: every text is hashed
         marked = sized.withColumn("alive", F.lit(True))
     whole = F.sha2(F.col("t").cast("binary"), 256)
-    rows = scratch.table(marked.select("id", "len", "alive", (whole if digest_all else F.when(F.col("alive"), whole)).alias("sha")), "rows")
+    rows = scratch.table(marked.select("id", "len", "alive", (whole if digest_all else F.when(F.col("alive"), whole)).alias("sha")).hint("rebalance"), "rows")
     groups = scratch.table(
-        rows.where("alive").groupBy("len", "sha").agg(F.max("id").alias("keep_id"), F.count("*").alias("n")).where("n > 1"), "groups"
+        rows.where("alive").groupBy("len", "sha").agg(F.max("id").alias("keep_id"), F.count("*").alias("n")).where("n > 1").coalesce(few), "groups"
     )
     joined = rows.where("alive").join(groups, ["len", "sha"], "left")
     single = F.col("n").isNull()

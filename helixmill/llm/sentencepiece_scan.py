@@ -287,31 +287,41 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     small = base.where(~giant).mapInArrow(whole, f"id {kind}, text_sha256 string, ids array<int>")
 
     cuts = "row long, chunk long, s string, base long, lo long, hi long, end long"
+    named = f"id {kind}, sha string"
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(batches):
-            s, reach = normalise(row["t"]), get().longest
-            for c, lo in enumerate(range(0, len(s), chunk_chars)):
-                hi, at = min(len(s), lo + chunk_chars), max(0, lo - reach)
-                yield _batch(_kind(cuts), [{"row": row["row"], "chunk": c, "s": s[at : hi + reach], "base": at, "lo": lo, "hi": hi, "end": len(s)}])
+    def with_name(ddl: str, batch: pa.RecordBatch) -> pa.Schema:
+        return _kind(ddl).append(batch.schema.field("id")).append(batch.schema.field("sha"))
 
-    # Numbers of rows are of one run only, so they are read from a table.
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row with the text's name, as chunk -1, and one for each chunk."""
+        for batch in batches:
+            columns, reach = with_name(cuts, batch), get().longest
+            for row in _rows([batch]):
+                s = normalise(row.pop("t"))
+                yield _batch(columns, [row | {"chunk": -1}])
+                for c, lo in enumerate(range(0, len(s), chunk_chars)):
+                    hi, at = min(len(s), lo + chunk_chars), max(0, lo - reach)
+                    yield _batch(columns, [{"row": row["row"], "chunk": c, "s": s[at : hi + reach], "base": at, "lo": lo, "hi": hi, "end": len(s)}])
+
+    # Numbers of rows are of one run only: all that bears them comes from the table of chunks.
     numbered = base.where(giant).withColumn("row", F.monotonically_increasing_id())
-    named = scratch.table(numbered.select("row", "id", "sha"), "texts")
-    chunks = numbered.select("row", "t").mapInArrow(cut, cuts).repartition("row", "chunk")
+    chunks = numbered.mapInArrow(cut, f"{cuts}, {named}").repartition("row", "chunk")
     scanned = f"row long, chunk long, {PACKED}, {EDGES}"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            columns = with_name(scanned, batch)
             for r in _rows([batch]):
-                m, middle, at = get().scan(r["s"], r["base"], r["lo"], r["hi"], r["end"])
-                s, s2, base2 = get().edges(r["s"], r["base"], r["hi"], at)
-                first, last = at or (None, None)
-                yield _batch(_kind(scanned), [r | {"rows": m.shape[0], "cols": m.shape[1], "cells": m.tobytes(), "s": s, "s2": s2, "base2": base2, "cut0": first, "cut1": last, "middle": middle}])
+                if r["chunk"] >= 0:
+                    m, middle, at = get().scan(r["s"], r["base"], r["lo"], r["hi"], r["end"])
+                    s, s2, base2 = get().edges(r["s"], r["base"], r["hi"], at)
+                    first, last = at or (None, None)
+                    r |= {"rows": m.shape[0], "cols": m.shape[1], "cells": m.tobytes(), "s": s, "s2": s2, "base2": base2, "cut0": first, "cut1": last, "middle": middle}
+                yield _batch(columns, [r])
             give_back()
 
-    local = scratch.table(chunks.mapInArrow(scan, scanned), "chunks")
-    matrices = local.select("row", F.floor(F.col("chunk") / GROUP_CHUNKS).alias("part"), "chunk", "rows", "cols", "cells")
+    local = scratch.table(chunks.mapInArrow(scan, f"{scanned}, {named}"), "chunks")
+    matrices = local.where("chunk >= 0").select("row", F.floor(F.col("chunk") / GROUP_CHUNKS).alias("part"), "chunk", "rows", "cols", "cells")
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (row, part), group in groupby(_rows(batches), lambda r: (r["row"], r["part"])):
@@ -338,8 +348,7 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
 
     # A chunk's way stands before the chunk; each is traced by itself.
     result = f"id {kind}, text_sha256 string, ids array<int>"
-    told = ways.unionByName(named.withColumn("chunk", F.lit(-1).cast("long")), allowMissingColumns=True)
-    ready = local.drop("rows", "cols", "cells").unionByName(told, allowMissingColumns=True).repartition("row").sortWithinPartitions("row", "chunk", F.col("entry").isNull())
+    ready = local.drop("rows", "cols", "cells").unionByName(ways, allowMissingColumns=True).repartition("row").sortWithinPartitions("row", "chunk", F.col("entry").isNull())
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done, name, way = [], None, None

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, give_back, sift, text_slices
-from .components import components, joined_labels
+from .components import EDGES_A_TASK, components, joined_labels
 
 WORDS = 5
 #: Linked where DENOMINATOR * intersection >= NUMERATOR * union.
@@ -341,22 +341,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = sift(base.where("id is not null"), wanted, "id", scratch, "wanted-ids").mapInArrow(_sets, "id long, digest binary, sketch binary, shingles binary")
     sets = scratch.table(sets.join(wanted, ["digest", "id"]).dropDuplicates(["digest", "id"]).select("node", "n", "sketch", "shingles"), "sets")
     # Each class with its smallest pivot, then with the pivots of buckets that are still divided.
+    few = 1 + wanted.count() // EDGES_A_TASK  # links and labels are as many as these at most: few files
     first = members.where("node <> pivot").groupBy("node").agg(F.min("pivot").alias("a")).select("a", F.col("node").alias("b"))
-    edges = scratch.table(_verified(first, sets), "edges-1")
-    label = scratch.table(components(edges, scratch, "c1"), "label-1")
+    edges = scratch.table(_verified(first, sets).distinct().coalesce(few), "edges-1")
+    label = scratch.table(components(edges, scratch, "c1").coalesce(few), "label-1")
     with_label = lambda: members.join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     head = label.toDF("pivot", "pivot_component")
     apart = with_label().where("node <> pivot").join(head, "pivot", "left").where("component <> coalesce(pivot_component, pivot)")
     pairs = apart.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    second = scratch.table(_verified(pairs, sets), "edges-2")
-    label = scratch.table(joined_labels(label, second, scratch, "c2"), "label-2")
-    late = scratch.table(_late_links(with_label(), sets, scratch, pairs_a_member), "edges-3")
-    label = scratch.table(joined_labels(label, late, scratch, "c3"), "label")
+    second = scratch.table(_verified(pairs, sets).distinct().coalesce(few), "edges-2")
+    label = scratch.table(joined_labels(label, second, scratch, "c2").coalesce(few), "label-2")
+    late = scratch.table(_late_links(with_label(), sets, scratch, pairs_a_member).coalesce(few), "edges-3")
+    label = scratch.table(joined_labels(label, late, scratch, "c3").coalesce(few), "label")
     edges = edges.unionByName(second).unionByName(late).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     degree = edges.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
     tied = classes.select("node", "rep").join(label.withColumnRenamed("id", "node"), "node")
     least = tied.groupBy("component").agg(F.min("rep").alias("component_id"))
-    tied = scratch.table(tied.join(least, "component").join(degree, "node", "left").select("node", "component_id", F.coalesce("links", F.lit(0)).alias("links")), "tied")
+    tied = scratch.table(tied.join(least, "component").join(degree, "node", "left").select("node", "component_id", F.coalesce("links", F.lit(0)).alias("links")).coalesce(few), "tied")
     told = classes.select("digest", "node", "rep").join(tied, "node", "left").select("digest", F.coalesce("component_id", "rep").alias("component"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
     alone = sigs.where("digest is null or id is null").select("id", "n", F.col("id").alias("component"), F.lit(0).cast("long").alias("links"))
     out = scratch.table(named.select("id", "n", "digest").join(told, "digest").select("id", "n", "component", "links").unionByName(alone), "out")
