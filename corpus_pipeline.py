@@ -29,7 +29,7 @@ def _rows_by_number(spark: SparkSession, docs: DataFrame) -> DataFrame | None:
 def _without(spark: SparkSession, docs: DataFrame, decided: DataFrame) -> DataFrame:
     """docs without the ids of rows of decided that are not kept."""
     scratch = Scratch(spark)
-    return without(docs, scratch.table(decided.where("not kept").select("doc_id"), "gone"), "doc_id", scratch, "gone-bits")
+    return without(docs, scratch.table(decided.where("not kept").select("doc_id").hint("rebalance"), "gone"), "doc_id", scratch, "gone-bits")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
