@@ -4,7 +4,8 @@ A turn becomes `<turn:ROLE>` content `</turn>` and a line feed. Inside texts and
 backslash becomes `\\` and `<` becomes `\<`, so an unescaped `<` always begins a control
 string and the output can be read back exactly. A visitor flattens content: text stays,
 other parts become `<image:1>`, `<audio:2>`, `<document:3>` in order of appearance, their
-references and token counts are recorded.
+references and token counts are recorded. A part of any other type becomes `<other:4>` and is
+recorded with its own type, of no tokens unless it says so; a null part is an empty text.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ FORMAT_SCHEMA = (
     "conv_id long, n_turns long, formatted string, loss_spans array<struct<start:long,stop:long>>, "
     "attachments array<struct<place:int,kind:string,ref:string,tokens:long>>, expanded_tokens long"
 )
-_CONTROL = re.compile(r"\\.|<(turn:)((?:[^\\>]|\\.)*)>|(</turn>\n)|<((?:image|audio|document):\d+)>", re.S)
+_CONTROL = re.compile(r"\\.|<(turn:)((?:[^\\>]|\\.)*)>|(</turn>\n)|<((?:image|audio|document|other):\d+)>", re.S)
 PART = "struct<type:string,text:string,ref:string,tokens:long>"
 
 
@@ -41,19 +42,21 @@ class Flattener:
     def __init__(self) -> None:
         self.attachments: list[dict] = []
 
-    def visit(self, part: dict) -> str:
-        return getattr(self, f"visit_{part.get('type') or 'text'}")(part)
+    def visit(self, part: dict | None) -> str:
+        part = part or {}
+        kind = part.get("type") or "text"
+        return getattr(self, f"visit_{kind if kind == 'text' or kind in PART_TOKENS else 'other'}")(part)
 
     def visit_text(self, part: dict) -> str:
         return escape(part.get("text") or "")
 
     def _attach(self, part: dict) -> str:
         kind, place = part["type"], len(self.attachments) + 1
-        tokens = PART_TOKENS[kind] if part.get("tokens") is None else part["tokens"]
+        tokens = PART_TOKENS.get(kind, 0) if part.get("tokens") is None else part["tokens"]
         self.attachments.append({"place": place, "kind": kind, "ref": part.get("ref"), "tokens": tokens})
-        return f"<{kind}:{place}>"
+        return f"<{kind if kind in PART_TOKENS else 'other'}:{place}>"
 
-    visit_image = visit_audio = visit_document = _attach
+    visit_image = visit_audio = visit_document = visit_other = _attach
 
 
 def format_turns(turns: list[dict], train_roles: frozenset[str] = frozenset({"assistant"})) -> dict:

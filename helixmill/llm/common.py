@@ -29,12 +29,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder all executors share: spark.checkpoint.dir, or one of our own where that is unset and all run on this machine."""
     if at := spark.sparkContext.getConf().get("spark.checkpoint.dir", None):
         return at.rstrip("/")
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="helixmill-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
@@ -71,6 +73,19 @@ class Scratch:
             _delete(self.spark, f"{self.root}/{name}")
 
 
+def publish(scratch: Scratch, name: str, data: bytes) -> str:
+    """Writes data to the shared folder and has Spark hand it to every executor; its name for SparkFiles."""
+    spark, name = scratch.spark, f"{uuid.uuid4().hex}-{name}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch.root}/{name}")
+    files = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    out = files.create(p)
+    for lo in range(0, len(data), 1 << 22):
+        out.write(bytearray(data[lo : lo + (1 << 22)]))
+    out.close()
+    spark.sparkContext.addFile(files.makeQualified(p).toString())
+    return name
+
+
 def _clean() -> None:
     for spark, root in _roots:
         try:

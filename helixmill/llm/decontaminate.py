@@ -12,6 +12,7 @@ document is contaminated by an item of which tiles cover at least COVERAGE of th
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, text_slices
+from .common import Scratch, give_back, text_slices
 
 MIN_TILE = 5
 COVERAGE = 0.75
@@ -149,10 +150,10 @@ class SeedIndex:
         return h
 
     @staticmethod
-    def _near(ids: np.ndarray, starts: list[int], k: int, around: int) -> tuple[list[int], list[int]]:
+    def _near(ids: np.ndarray, places: list[np.ndarray], k: int, around: int) -> tuple[list[int], list[int]]:
         """The words of seeds of k words and so many around them, with -1 where others are left out, and their places in the document."""
         near = np.zeros(len(ids) + 1, np.int64)
-        at = np.array(starts)
+        at = np.concatenate(places)
         np.add.at(near, np.maximum(at - around, 0), 1)
         np.add.at(near, np.minimum(at + k + around, len(ids)), -1)
         back = np.flatnonzero(np.cumsum(near[:-1]) > 0)
@@ -175,16 +176,24 @@ class SeedIndex:
             h = self._hashes(ids, k)[starts]
             place = np.minimum(np.searchsorted(sorted_keys, h), len(sorted_keys) - 1)
             hit = sorted_keys[place] == h
-            covered: dict[int, set[int]] = {}
-            where: dict[int, list[int]] = {}
-            for t, key in zip(starts[hit].tolist(), h[hit].tolist(), strict=True):
+            if not hit.any():
+                continue
+            found, group = np.unique(h[hit], return_inverse=True)
+            places = np.split(starts[hit][np.argsort(group, kind="stable")], np.cumsum(np.bincount(group))[:-1])
+            covered: dict[int, np.ndarray] = {}
+            where: dict[int, list[np.ndarray]] = {}
+            for key, here in zip(found.tolist(), places, strict=True):  # a seed that repeats in the document counts once
                 for item, p in at[key]:
-                    covered.setdefault(item, set()).update(range(p, p + k))
-                    if not (w := where.setdefault(item, [])) or w[-1] != t:
-                        w.append(t)
-            for item, cover in covered.items():
+                    if item not in covered:
+                        covered[item], where[item] = np.zeros(len(self.items[item][1]) + 1, np.int64), []
+                    covered[item][p] += 1
+                    covered[item][p + k] -= 1
+                    if not where[item] or where[item][-1] is not here:
+                        where[item].append(here)
+            for item, steps in covered.items():
                 item_id, words, least = self.items[item]
                 need = self.coverage * len(words) - 1e-9
+                cover = set(np.flatnonzero(np.cumsum(steps[:-1]) > 0).tolist())
                 if len(cover | self.short[item]) < need:
                     continue  # tiles lie within shared seeds and short sentences, so they cover no more
                 tiles: list[tuple[int, int, int]] = []
@@ -200,42 +209,58 @@ class SeedIndex:
         return sorted(out, key=lambda m: (m["item_id"] is None, m["item_id"]))
 
 
-def benchmark_matches(benchmark: DataFrame, text: Column, coverage: float = COVERAGE) -> Column:
-    """An array column (MATCH) of the items that contaminate the text; empty for clean, empty and null texts.
-
-    Items without words match nothing; items shorter than MIN_TILE must stand whole; repeated
-    items match each. However large the benchmark, each block of it is of bounded size.
-    """
-    spark = benchmark.sparkSession
-    blocks: list[list[tuple[int, str | None]]] = [[]]
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
+    """The benchmark's rows by blocks of at most BLOCK_CHARS characters, or one item; the driver holds one at a time."""
+    block: list[tuple[int, str | None]] = []
     size = 0
     for r in benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator():
-        if blocks[-1] and size + len(r[1] or "") > BLOCK_CHARS:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r[0], r[1]))
+        if block and size + len(r[1] or "") > BLOCK_CHARS:
+            yield block
+            block, size = [], 0
+        block.append((r[0], r[1]))
         size += len(r[1] or "")
+    yield block
+
 
-    def one(items: list[tuple[int, str | None]]) -> Column:
-        shared = spark.sparkContext.broadcast(SeedIndex(items, MIN_TILE, coverage))
-        tiles = pa.list_(pa.struct([("item_word", pa.int32()), ("doc_word", pa.int32()), ("length", pa.int32())]))
-        kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("n_tiles", pa.int32()), ("longest", pa.int32()), ("tiles", tiles)]))
+def _matches(spark: SparkSession, items: list[tuple[int, str | None]], coverage: float, text: Column) -> Column:
+    shared = spark.sparkContext.broadcast(SeedIndex(items, MIN_TILE, coverage))
+    tiles = pa.list_(pa.struct([("item_word", pa.int32()), ("doc_word", pa.int32()), ("length", pa.int32())]))
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("n_tiles", pa.int32()), ("longest", pa.int32()), ("tiles", tiles)]))
 
-        @F.arrow_udf(MATCH)
-        def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for texts in batches:
-                found = [shared.value.matches(t) for lo, n in text_slices(texts) for t in texts.slice(lo, n).to_pylist()]
-                give_back()
-                yield pa.array(found, kind)
+    @F.arrow_udf(MATCH)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [shared.value.matches(t) for lo, n in text_slices(texts) for t in texts.slice(lo, n).to_pylist()]
+            give_back()
+            yield pa.array(found, kind)
 
-        return find(F.coalesce(text, F.lit("")))
+    return find(F.coalesce(text, F.lit("")))
 
-    return F.flatten(F.array(*map(one, blocks)))
+
+def with_matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", out_col: str = "matches", coverage: float = COVERAGE) -> DataFrame:
+    """docs with an array (MATCH) of the items that contaminate the text; empty for clean, empty and null texts.
+
+    Items without words match nothing; items shorter than MIN_TILE must stand whole; repeated
+    items match each. A benchmark of several blocks is matched block by block, so that neither
+    the driver nor an executor holds more than one.
+    """
+    spark, blocks = docs.sparkSession, _blocks(benchmark)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return docs.withColumn(out_col, _matches(spark, first, coverage, F.col(text_col)))
+    scratch, found = Scratch(spark), None
+    rows = scratch.table(docs.withColumn("__row", F.monotonically_increasing_id()), "docs")
+    for k, block in enumerate(itertools.chain([first, second], blocks)):
+        one = rows.select("__row", _matches(spark, block, coverage, F.col(text_col)).alias("m")).where("size(m) > 0")
+        one = scratch.table(one.select("__row", F.explode("m").alias("m")).hint("rebalance"), f"block-{k}")
+        found = one if found is None else found.unionByName(one)
+    by_row = found.groupBy("__row").agg(F.array_sort(F.collect_list("m")).alias("__m"))
+    return rows.join(by_row, "__row", "left").withColumn(out_col, F.coalesce("__m", F.expr(f"cast(array() as {MATCH})"))).drop("__row", "__m")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", coverage: float = COVERAGE) -> DataFrame:
     """A row for each contaminated row of docs and item: id, item_id, coverage, n_tiles, longest, tiles."""
-    found = docs.select(F.col(id_col), benchmark_matches(benchmark, F.col(text_col), coverage).alias("m"))
+    found = with_matches(docs.select(F.col(id_col), F.col(text_col).alias("t")), benchmark, "t", "m", coverage)
     return found.select(id_col, F.explode("m").alias("m")).select(id_col, "m.*")
 
 

@@ -11,6 +11,8 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +20,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import UPPER, held_out
+from .common import UPPER, give_back, held_out, text_slices
 from .labelled import training_ids, training_texts
 
 MAX_ROWS = 8000
+#: The lexicon and the trees that calibrate a row's margin have not seen its fold.
+FOLDS = 4
 #: Learnt lexicon: at most so many words, each in at least so many labelled toxic documents, and in that share of them.
 LEARNT_WORDS, LEARNT_DOCS, LEARNT_SHARE, LEARNT_RATIO = 200, 4, 0.01, 15.0
 #: Fixed lexicon: insults in the languages of the corpus.
@@ -170,15 +174,23 @@ class Isotonic:
         return np.interp(x, self.x, self.y) if len(self.x) else np.full(len(x), 0.5)
 
 
+def out_of_fold_margins(xs: list[np.ndarray], y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """Margins of trees that have not seen the row's fold; xs[k] are all rows' features under the lexicon learnt without fold k."""
+    out = np.zeros(len(y))
+    for k in range(FOLDS):
+        out[fold == k] = BoostedTrees().fit(xs[k][fold != k], y[fold != k]).margins(xs[k][fold == k])
+    return out
+
+
 class ToxicityModel:
-    def __init__(self, x: np.ndarray, y: np.ndarray, learnt: frozenset[str], folds: int = 4):
+    """xs: features under each fold's lexicon, then under that of all rows, which is learnt."""
+
+    def __init__(self, xs: list[np.ndarray], y: np.ndarray, fold: np.ndarray, learnt: frozenset[str]):
         self.learnt, self.fixed_score = learnt, float(y.mean()) if len(y) else 0.0
         self.trees = self.calibrate = None
         if len(y) >= 20 and 0 < y.sum() < len(y):
-            fold, out = np.arange(len(y)) % folds, np.zeros(len(y))
-            for k in range(folds):
-                out[fold == k] = BoostedTrees().fit(x[fold != k], y[fold != k]).margins(x[fold == k])
-            self.trees, self.calibrate = BoostedTrees().fit(x, y), Isotonic(out, y.astype(float))
+            self.calibrate = Isotonic(out_of_fold_margins(xs, y, fold), y.astype(float))
+            self.trees = BoostedTrees().fit(xs[FOLDS], y)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         if self.trees is None:
@@ -190,33 +202,52 @@ class ToxicityModel:
         return self.scores(np.array([features(t or "", self.learnt, memo) for t in texts]).reshape(len(texts), len(FEATURES)))
 
 
-def _featurise(learnt: frozenset[str]):
+def _featurise(lexicons: list[frozenset[str]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict = {}
         for batch in batches:
-            x = [features(t, learnt, memo) for t in batch.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "y", "x"])
+            texts = batch.column("t")
+            x = [[v for lexicon in lexicons for v in features(t, lexicon, memo)] for lo, n in text_slices(texts) for t in texts.slice(lo, n).to_pylist()]
+            give_back()
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "y", "fold")), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "y", "fold", "x"])
 
     return run
 
 
-def learn_lexicon(texts: DataFrame) -> frozenset[str]:
-    """Words of the labelled sample whose share among toxic documents is LEARNT_RATIO times that among others."""
-    words = texts.select("y", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(r"([\p{L}]{3,})"), 1))).alias("word"))
-    n = texts.agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")).first()
-    if not n["pos"] or not n["neg"]:
-        return frozenset()
-    ratio = (F.sum("y") / F.lit(n["pos"])) / ((F.sum(1 - F.col("y")) + 1) / F.lit(n["neg"]))
-    kept = words.groupBy("word").agg(F.sum("y").alias("k"), ratio.alias("r")).where((F.col("k") >= max(LEARNT_DOCS, LEARNT_SHARE * n["pos"])) & (F.col("r") >= LEARNT_RATIO))
-    return frozenset(r["word"] for r in kept.orderBy(F.desc("r"), "word").limit(LEARNT_WORDS).collect())
+def learn_lexicons(texts: DataFrame, share: float = LEARNT_SHARE, ratio: float = LEARNT_RATIO) -> list[frozenset[str]]:
+    """For each fold of texts (t, y, fold) the words learnt without it, then those learnt from all rows.
+
+    A word is learnt where its share among toxic documents is so many times that among others.
+    """
+    words = texts.select("y", "fold", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(r"([\p{L}]{3,})"), 1))).alias("word"))
+    of = lambda y, k: F.sum(((F.col("y") == y) & (F.col("fold") != k)).cast("long"))  # noqa: E731  fold FOLDS has no rows
+    counts = [of(y, k).alias(f"n{y}_{k}") for y in (0, 1) for k in range(FOLDS + 1)]
+    total = texts.agg(*counts).first()
+    fits = {k: (F.col(f"n1_{k}") >= max(LEARNT_DOCS, share * total[f"n1_{k}"])) & (F.col(f"n1_{k}") / total[f"n1_{k}"] >= ratio * (F.col(f"n0_{k}") + 1) / total[f"n0_{k}"]) for k in range(FOLDS + 1) if total[f"n1_{k}"] and total[f"n0_{k}"]}
+    if not fits:
+        return [frozenset()] * (FOLDS + 1)
+    rows = words.groupBy("word").agg(*counts).where(reduce(or_, fits.values())).collect()  # of a bounded sample
+    out = []
+    for k in range(FOLDS + 1):
+        p, n = total[f"n1_{k}"] or 0, total[f"n0_{k}"] or 0
+        rate = {r["word"]: (r[f"n1_{k}"] / p) / ((r[f"n0_{k}"] + 1) / n) for r in rows if k in fits and r[f"n1_{k}"] >= max(LEARNT_DOCS, share * p)}
+        out.append(frozenset(sorted((w for w in rate if rate[w] >= ratio), key=lambda w: (-rate[w], w))[:LEARNT_WORDS]))  # noqa: B023
+    return out
+
+
+def labelled_features(docs: DataFrame, labels: DataFrame, target: str, max_rows: int, **limits) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list[frozenset[str]]]:
+    """Features under each lexicon, labels, folds and lexicons of at most max_rows labelled documents outside the held-out third."""
+    texts = training_texts(docs, training_ids(docs, labels, target, max_rows)).withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(FOLDS)).cast("int"))
+    lexicons = learn_lexicons(texts, **limits)
+    rows = texts.mapInArrow(_featurise(lexicons), "doc_id long, y int, fold int, x array<double>").toArrow().sort_by("doc_id").combine_chunks()
+    x = np.array(rows["x"].to_pylist(), float).reshape(len(rows), len(lexicons), len(FEATURES))
+    return [x[:, k] for k in range(len(lexicons))], rows["y"].to_numpy().astype(np.int64), rows["fold"].to_numpy(), lexicons
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, target: str = "toxic", max_rows: int = MAX_ROWS) -> ToxicityModel:
-    """Fits on at most max_rows labelled documents outside the held-out third; the driver gets their features."""
-    texts = training_texts(docs, training_ids(docs, labels, target, max_rows))
-    learnt = learn_lexicon(texts)
-    rows = sorted(texts.mapInArrow(_featurise(learnt), "doc_id long, y int, x array<double>").collect(), key=lambda r: r["doc_id"])
-    return ToxicityModel(np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES)), np.array([r["y"] for r in rows], np.int64), learnt)
+    """Fits on at most max_rows labelled documents; the driver gets their features, not their texts."""
+    xs, y, fold, lexicons = labelled_features(docs, labels, target, max_rows)
+    return ToxicityModel(xs, y, fold, lexicons[FOLDS])
 
 
 def toxicity_score(spark: SparkSession, model: ToxicityModel, text: Column) -> Column:
@@ -225,7 +256,9 @@ def toxicity_score(spark: SparkSession, model: ToxicityModel, text: Column) -> C
     @F.arrow_udf(T.DoubleType())
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(shared.value.score_texts(texts.to_pylist()), pa.float64())
+            scores = [shared.value.score_texts(texts.slice(lo, n).to_pylist()) for lo, n in text_slices(texts)]
+            give_back()
+            yield pa.array(np.concatenate(scores) if scores else [], pa.float64())
 
     return score(F.coalesce(text, F.lit("")))
 

@@ -2,15 +2,12 @@
 
 Every rule (host and path prefix) is keyed by the 64-bit xxhash of its text. The sorted
 keys, and the full strings to confirm a hit, lie in one file that Spark hands to every
-executor; its Python workers map it into memory and probe it by vectorised binary search
+executor from the shared folder; its Python workers map it into memory and probe it by vectorised binary search
 with the host suffixes and path prefixes of each url.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,10 +17,8 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import UPPER
+from .common import UPPER, Scratch, publish
 
-#: A rule file is cut into parts of so many bytes of text at most; each is mapped by itself.
-PART_BYTES = 1 << 30
 OUT = "page_id long, host string, path string, rule string, verdict string"
 
 
@@ -39,7 +34,7 @@ def split_rule(rule: str) -> tuple[str, str]:
     return host.translate(str.maketrans(UPPER, UPPER.lower())), slash + path
 
 
-def write_rules(rules: Iterable[tuple[str, str]], path: str) -> None:
+def rule_file(rules: Iterable[tuple[str, str]]) -> bytes:
     """rules: (allow or block, host/path). Of equal rules block wins."""
     chosen: dict[str, bool] = {}
     for verdict, rule in rules:
@@ -52,11 +47,8 @@ def write_rules(rules: Iterable[tuple[str, str]], path: str) -> None:
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(texts[i]) for i in order], out=offsets[1:])
     lengths = np.array(sorted({len(split_rule(t)[1]) for t in chosen}), np.int64)
-    with open(path, "wb") as f:
-        for part in (np.array([len(texts), len(lengths)], np.int64), keys[order], offsets, lengths, block.astype(np.uint8)):
-            f.write(part.tobytes())
-        for i in order:
-            f.write(texts[i])
+    numbers = (np.array([len(texts), len(lengths)], np.int64), keys[order], offsets, lengths, block.astype(np.uint8))
+    return b"".join([part.tobytes() for part in numbers] + [texts[i] for i in order])
 
 
 class DigestArray:
@@ -107,30 +99,14 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str]], default: str = "a
     Urls without a rule get the default; so do null and malformed ones. Rows repeat as they
     do in pages. No rules, or no rows, are no error.
     """
-    spark = pages.sparkSession
-    names, part, size = [], [], 0
-    folder = tempfile.mkdtemp(prefix="helixmill-rules-")
-    for i, rule in enumerate([*rules, None]):
-        if rule is None or size >= PART_BYTES:
-            write_rules(part, path := f"{folder}/{uuid.uuid4().hex}.rules")
-            spark.sparkContext.addFile(path)
-            names.append(os.path.basename(path))
-            part, size = [], 0
-        if rule is not None:
-            part.append(rule)
-            size += len(rule[1].encode())
+    name = publish(Scratch(pages.sparkSession), "urls.rules", rule_file(rules))
     host, path = url_parts(F.col(url_col))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrays = [DigestArray(SparkFiles.get(n)) for n in names]
+        array = DigestArray(SparkFiles.get(name))
         for batch in batches:
-            hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
-            best: list = [None] * len(hosts)
-            for array in arrays:
-                for i, got in enumerate(array.longest(hosts, paths)):
-                    if got and (best[i] is None or len(got[0]) > len(best[i][0])):
-                        best[i] = got
+            best = array.longest(batch.column("host").to_pylist(), batch.column("path").to_pylist())
             verdict = [default if b is None else ("block" if b[1] else "allow") for b in best]
             rule = pa.array([b and b[0] for b in best], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, rule, pa.array(verdict, pa.string())], ["page_id", "host", "path", "rule", "verdict"])

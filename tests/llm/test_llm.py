@@ -19,7 +19,7 @@ from helixmill.llm.license_scan import TemplateIndex, license_scan, words_of
 from helixmill.llm.quality_knn import LatentVoter, quality_classifier, term_counts
 from helixmill.llm.token_counts import token_counts
 from helixmill.llm.toxicity import BoostedTrees, Isotonic, features, toxicity
-from helixmill.llm.url_filter import DigestArray, url_filter, write_rules
+from helixmill.llm.url_filter import DigestArray, rule_file, url_filter
 
 SCHEMA = "doc_id long, text string, lang string, kept boolean, score double, n long"  # clashing names beside the real ones
 
@@ -167,6 +167,35 @@ def test_moved_short_sentences(spark):
         assert all(item[t["item_word"] :][: t["length"]] == doc[t["doc_word"] :][: t["length"]] for t in r["tiles"]) and r["coverage"] >= dc.COVERAGE
 
 
+def test_benchmark_of_several_blocks(spark, monkeypatch):
+    items = [(k, " ".join(f"b{k}_{i}" for i in range(20))) for k in range(12)]
+    rows = [(k, f"x {t} y {items[(k + 5) % 12][1]}") for k, t in items] + [(50, "clean"), (51, None), (3, items[3][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = rows_of(dc.decontaminate(docs(spark, rows), bench), "doc_id", "item_id", "coverage")
+    monkeypatch.setattr(dc, "BLOCK_CHARS", 300)
+    assert rows_of(dc.decontaminate(docs(spark, rows), bench), "doc_id", "item_id", "coverage") == whole and len(whole) == 25
+    assert dc.with_matches(docs(spark, rows), bench).count() == len(rows)
+
+
+def test_repetitive_and_very_long_texts():
+    index = dc.SeedIndex([(1, "ha " * 500), (2, " ".join(f"w{k}" for k in range(40)))])
+    assert [m["item_id"] for m in index.matches("ha " * 20_000)] == [1]
+    assert [m["item_id"] for m in index.matches("filler " * 300_000 + " ".join(f"w{k}" for k in range(40)))] == [2]
+    assert index.matches("ha " * 300 + "x " * 300) == []
+
+
+def test_seed_pruning_loses_no_item():
+    rng = random.Random(12)
+    for _ in range(200):  # against tiling every item with the whole document
+        items = [(k, " ".join(rng.choice("abcdef") for _ in range(rng.randint(5, 14)))) for k in range(3)]
+        text = " ".join(rng.choice("abcdef") for _ in range(40))
+        index = dc.SeedIndex(items)
+        got = {m["item_id"] for m in index.matches(text)}
+        doc = [index.vocabulary.get(w, -1) for w in dc.words_of(text)]
+        want = {k for k, ids, least in index.items if sum(n for *_, n in dc.tile(ids.tolist(), doc, least)) >= dc.COVERAGE * len(ids)}
+        assert want <= got
+
+
 def test_tiles_against_greedy_brute_force():
     rng = random.Random(7)
     for _ in range(150):
@@ -269,6 +298,14 @@ def test_chat_parts(spark):
     assert chat_format(df).first()["expanded_tokens"] == 3
 
 
+def test_unknown_and_null_parts(spark):
+    one = format_turns([{"role": "user", "parts": [{"type": "video", "ref": "v.mp4"}, None, {"type": None, "text": "a<b"}, {"type": "other", "tokens": 9}]}, {"role": None, "parts": None}])
+    assert one["formatted"] == "<turn:user><other:1>a\\<b<other:2></turn>\n<turn:></turn>\n" and one["expanded_tokens"] == 9
+    assert [a["kind"] for a in one["attachments"]] == ["video", "other"] and len(parse_formatted(one["formatted"])) == 2
+    long = "word <turn:x> " * 200_000
+    assert parse_formatted(format_turns([{"role": "user", "parts": [{"type": "text", "text": long}]}])["formatted"]) == [("user", long)]
+
+
 def test_license_scan(spark):
     templates = [("t1", "alpha beta gamma delta epsilon"), ("t2", "alpha beta"), ("t3", "the the of zeta eta theta iota kappa lam mu")]
     rng = random.Random(2)
@@ -334,8 +371,11 @@ def test_url_filter(spark, tmp_path):
     assert got[3] == ("example.com", "", None, "allow") and got[4] == got[5] == ("", "", None, "allow") and got[6][2:] == ("net/", "block")
     assert got[7][2:] == ("org/x", "block") and got[8][2] is None and got[9][:3] == ("b:", "//c.com/", None) and got[10] == ("com", "", None, "allow") and got[11][2] == "com/"
     assert url_filter(df, []).where("rule is not null").count() == 0 and url_filter(df.limit(0), rules).count() == 0
-    write_rules(rules, path := str(tmp_path / "r"))
-    array = DigestArray(path)
+    same = [("block", "net/"), ("allow", "a.b.com/"), ("allow", "net/"), ("block", "a.b.com/"), ("allow", "b.com/xy")]
+    one = {r["page_id"]: (r["rule"], r["verdict"]) for order in (same, same[::-1]) for r in url_filter(spark.createDataFrame([(1, "x://net/"), (2, "x://a.b.com/xyz")], "page_id long, url string"), order).collect()}
+    assert one == {1: ("net/", "block"), 2: ("a.b.com/", "block")}  # of equal rules block; of equal length the longer host
+    (tmp_path / "r").write_bytes(rule_file(rules))
+    array = DigestArray(str(tmp_path / "r"))
     array.keys = np.full(len(array.keys), array.keys[0])  # all digests collide: stored strings decide
     assert (array.probe([b"nowhere/"]) == -1).all()
 
