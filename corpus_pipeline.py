@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixmill.llm.common import Scratch, without
-from helixmill.llm.decontaminate import benchmark_matches
+from helixmill.llm.decontaminate import with_matches
 from helixmill.llm.exact_dedup import exact_dedup
 from helixmill.llm.quality_knn import quality_classifier
 from helixmill.llm.sentencepiece_scan import SPACE, default_model, sp_decode, sp_encode
@@ -58,8 +58,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    found = benchmark_matches(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), F.col("text"))
-    return docs.withColumn("__found", F.size(found)).where("__found = 0").drop("__found")
+    found = with_matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out_col="__found")
+    return found.where("size(__found) = 0").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
