@@ -212,17 +212,23 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     words = "regexp_extract_all({}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-    values = ", ".join(f"({k}, '{label}', '{w.decode()}', {len(s)}, {math.ceil(CONTAINMENT * len(s) - 1e-9)})" for k, (label, t) in enumerate(TEMPLATES) for s in [set(words_of(t))] for w in sorted(s))
+    rows = [(k, label, words_of(t)) for k, (label, t) in enumerate(TEMPLATES)]
+    must = {k: NAMING[label] if NAMING.get(label, "").encode() in ws else "" for k, label, ws in rows}
+    values = ", ".join(f"({k}, '{label}', '{w.decode()}', {len(set(ws))}, {math.ceil(CONTAINMENT * len(set(ws)) - 1e-9)}, {len(ws)}, '{must[k]}')" for k, label, ws in rows for w in sorted(set(ws)))
     phrases = ", ".join(f"(['{"', '".join(p.split())}'], '{label}')" for p, label in PHRASES.items())
     return f"""
 WITH d AS (SELECT doc_id, {low} AS t, {words.format(low)} AS w FROM documents),
 ph(p, label) AS (VALUES {phrases}),
 places AS (SELECT doc_id, label, i FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d WHERE len(w) > 0) x JOIN ph ON list_slice(x.w, i + 1, i + len(p)) = p),
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM places GROUP BY doc_id),
-tw(k, label, word, n, need) AS (VALUES {values}),
+tw(k, label, word, n, need, size, must) AS (VALUES {values}),
 lines AS (SELECT doc_id, line, list_distinct({words.format("l")}) AS w FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l, unnest(range(len(string_split(t, chr(10))))) AS line FROM d)),
-hits AS (SELECT doc_id, line, k, label, n, need, count(*) AS overlap FROM (SELECT doc_id, line, unnest(w) AS word FROM lines) JOIN tw USING (word) GROUP BY ALL HAVING count(*) >= need),
-labelled AS (SELECT doc_id, label, 1 AS is_base, 1.0::DOUBLE AS s FROM places UNION ALL SELECT doc_id, label, 0, overlap::DOUBLE / n FROM hits),
+hits AS (SELECT doc_id, k, label, n, count(*) AS overlap FROM (SELECT doc_id, line, unnest(w) AS word FROM lines) JOIN tw USING (word) GROUP BY doc_id, line, k, label, n, need, must HAVING count(*) >= need AND (must = '' OR bool_or(word = must))),
+known AS (SELECT doc_id, i, k, label, word, n, need, size, must FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d) JOIN tw USING (word)),
+likely AS (SELECT x.* FROM known x SEMI JOIN (SELECT doc_id, k FROM known GROUP BY doc_id, k, need HAVING count(DISTINCT word) >= need) y ON x.doc_id IS NOT DISTINCT FROM y.doc_id AND x.k = y.k),
+windows AS (SELECT a.doc_id, a.k, a.label, a.n, count(DISTINCT b.word) AS overlap FROM likely a JOIN likely b ON a.doc_id = b.doc_id AND a.k = b.k AND b.i BETWEEN a.i AND a.i + a.size - 1
+  GROUP BY a.doc_id, a.k, a.label, a.n, a.need, a.must, a.i HAVING count(DISTINCT b.word) >= a.need AND (a.must = '' OR bool_or(b.word = a.must))),
+labelled AS (SELECT doc_id, label, 1 AS is_base, 1.0::DOUBLE AS s FROM places UNION ALL SELECT doc_id, label, 0, overlap::DOUBLE / n FROM (SELECT doc_id, label, overlap, n FROM hits UNION ALL SELECT doc_id, label, overlap, n FROM windows)),
 agg AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base = 1) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(s) AS score FROM labelled GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN agg USING (doc_id)

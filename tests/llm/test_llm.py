@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from helixmill.llm.chat_format import chat_format, escape, format_turns, parse_f
 from helixmill.llm.components import components
 from helixmill.llm.common import Scratch, held_out
 from helixmill.llm.exact_dedup import exact_dedup
-from helixmill.llm.license_scan import TemplateIndex, license_scan, words_of
+from helixmill.llm.license_scan import OP4_SQL, TemplateIndex, license_scan, words_of
 from helixmill.llm.quality_knn import LatentVoter, quality_classifier, term_counts
 from helixmill.llm.token_counts import token_counts
 from helixmill.llm.toxicity import BoostedTrees, Isotonic, features, toxicity
@@ -338,6 +339,16 @@ def test_wrapped_licenses(spark):
     assert [got[k]["labels"] for k in range(5)] == list(headers) and all(got[k]["wrapped"] and got[k]["score"] >= 0.8 for k in range(5))
     assert [got[100 + k]["labels"] for k in range(len(others))] == ["", "", "", "", "", "mit", ""]
     assert not got[105]["wrapped"] and got[105]["found"]  # on one line, so not told twice
+    rng = random.Random(3)
+    words = [w for h in headers.values() for w in h.split()]
+    rows += [(1000 + k, " ".join(rng.choice(words) + rng.choice(["", "", "\n"]) for _ in range(120))) for k in range(60)]
+    rows += [(2000 + k, "\n".join(h.split()[k % 3 :])) for k, h in enumerate(list(headers.values()) * 4)]
+    db = duckdb.connect()
+    db.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cols = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    want = sorted(db.sql(f"SELECT {', '.join(cols)} FROM ({OP4_SQL})").fetchall())
+    assert sorted(tuple(r[c] for c in cols) for r in license_scan(docs(spark, rows)).collect()) == want and sum(bool(r[6]) for r in want) > 20
     assert (got[0]["wrapped"][0]["first_word"], got[0]["wrapped"][0]["last_word"]) == (2, 21)
 
 
