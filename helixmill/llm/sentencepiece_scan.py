@@ -274,7 +274,7 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("t"), F.sha2(text.cast("binary"), 256).alias("sha"))
-    giant = F.length("t") > chunk_chars
+    giant = F.octet_length("t") > chunk_chars  # at least as many as characters: a short one is a scan of one chunk
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -413,7 +413,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     The model writes a literal U+2581 as a space, so the round trip is held against the text with that done.
     """
     model = default_model()
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.translate(F.coalesce("text", F.lit("")), SPACE, " ").alias("text"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.replace(F.coalesce("text", F.lit("")), F.lit(SPACE), F.lit(" ")).alias("text"))
     tokens = sp_decode(sp_encode(docs, model), model)
     return tokens.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
