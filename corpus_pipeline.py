@@ -65,7 +65,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and whether they decode to the text (a literal U+2581 counts as a space)."""
     model = default_model()
-    plain = docs.select("doc_id", F.translate(F.coalesce("text", F.lit("")), SPACE, " ").alias("text"))
+    plain = docs.select("doc_id", F.replace(F.coalesce("text", F.lit("")), F.lit(SPACE), F.lit(" ")).alias("text"))
     out = sp_decode(sp_encode(plain, model), model)
     same = F.sha2(F.col("decoded").cast("binary"), 256) == F.col("text_sha256")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
