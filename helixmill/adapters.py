@@ -36,7 +36,7 @@ SQL = {
         CASE WHEN l_orderkey % 11 = 0 THEN 'UR' WHEN l_orderkey % 13 = 0 THEN 'DD' ELSE 'UU' END AS pair_type, l_partkey % 50 - 1 AS rfrag1, l_suppkey % 50 - 1 AS rfrag2 FROM lineitem""",
     "loops": f"""SELECT sample, chrom AS chrom1, start1, start1 + 5000 AS end1, chrom AS chrom2, start2, start2 + 5000 AS end2, score,
         CAST(1 AS DOUBLE) / (1 + score) AS pvalue, CAST(2 AS DOUBLE) / (2 + score) AS fdr FROM ({{contacts}}) k WHERE score >= 20""",
-    "design": "SELECT concat('d', CAST(c_custkey AS STRING)) AS sample_id, concat('p', CAST(c_nationkey AS STRING)) AS subject_id, c_mktsegment AS arm FROM customer WHERE c_custkey % 7 < 3",
+    "design": "SELECT concat('d', CAST(c_custkey AS STRING)) AS sample_id, concat('p', CAST(c_nationkey AS STRING)) AS subject_id, c_mktsegment AS arm FROM customer",
     "qc": "SELECT CAST(c_custkey AS BIGINT) AS sample, CAST(c_custkey % 100 AS DOUBLE) AS yield_pct, CAST((c_custkey * 7) % 80 AS DOUBLE) AS dup_pct, CAST((c_custkey * 13) % 100 AS DOUBLE) / 100 AS cis_fraction, CASE c_custkey % 4 WHEN 0 THEN 'PASS' WHEN 1 THEN 'FAIL' WHEN 2 THEN 'DISCORDANT' ELSE 'NOT_ASSESSED' END AS replicate_status, CASE c_custkey % 3 WHEN 0 THEN 'PASS' WHEN 1 THEN 'WARN' ELSE 'NOT_ASSESSED' END AS balance_status FROM customer",
 }
 SQL["loops"] = SQL["loops"].format(contacts=SQL["contacts"])

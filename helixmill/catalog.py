@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import contacts, rules, tracks  # noqa: F401  rules and tracks add to the same tables
+from .plans import bundles, contacts, files, rules, tracks  # noqa: F401  all add to the same tables
 
 QUERIES = contacts.QUERIES
 ORACLES = contacts.ORACLES

@@ -1,21 +1,27 @@
-"""Greedy choices as rounds of local minima, equal to the sequential ones.
+"""Greedy choices, equal to the sequential ones.
 
-An element goes in when it ranks first among all that conflict with it; those it conflicts
-with go out; the rest plays on. Rounds are few, and each is joins and windows.
+Elements are cut into groups where a gap along an axis is wider than any conflict; each
+group is decided in one task by one pass in rank order. The gaps are looked for among the
+grid's places, of which a chromosome has a bounded number.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-Keep = Callable[[DataFrame, str], DataFrame]
+
+#: Independent runs are decided together in so many groups.
+GROUPS = 256
 
 
-def _checkpoint(df: DataFrame, name: str) -> DataFrame:
-    return df.checkpoint().toDF(*df.columns)  # columns of their own, so that rounds can be joined and united
+def cut_at_gaps(df: DataFrame, by: list[str], column: str, gap: int, name: str) -> DataFrame:
+    """df with the number of its row's run: places of column further apart than gap are in different runs."""
+    places = df.select(*by, column).distinct()
+    along = Window.partitionBy(*by).orderBy(column)
+    begins = F.coalesce((F.col(column) - F.lag(column).over(along) > gap).cast("int"), F.lit(1))
+    return df.join(places.withColumn("__begins", begins).select(*by, column, F.sum("__begins").over(along).alias(name)), [*by, column])
 
 
 def tolerant_support(calls: DataFrame, width: int, tol: int) -> DataFrame:
@@ -27,38 +33,41 @@ def tolerant_support(calls: DataFrame, width: int, tol: int) -> DataFrame:
     return seeds.join(near, ["chrom", "start1", "start2"]).groupBy("chrom", "start1", "start2").agg(F.array_sort(F.collect_set("sample")).alias("samples")).withColumn("support", F.size("samples"))
 
 
-def spaced_representatives(seeds: DataFrame, width: int, reach: int, keep: Keep = _checkpoint) -> DataFrame:
+def _group() -> Column:
+    return F.pmod(F.xxhash64("chrom", "__run1", "__run2"), F.lit(GROUPS)).alias("__group")
+
+
+def spaced_representatives(seeds: DataFrame, width: int, reach: int) -> DataFrame:
     """Seeds (chrom, start1, start2, support) taken greedily by (support descending, start1, start2); no two within reach bins at both anchors.
 
-    Seeds meet in grid cells wider than the reach; each round costs two joins.
+    A grid cell of reach + 1 bins holds one chosen seed at most, so a seed is held against nine.
     """
     cell = (reach + 1) * width
-    key = ["chrom", "start1", "start2"]
-    rank = lambda p: F.struct((-F.col(f"{p}support")).alias("r"), F.col(f"{p}start1").alias("a"), F.col(f"{p}start2").alias("b"))
-    left, chosen, k = keep(seeds, "seeds"), None, 0
-
-    def conflicts(a: DataFrame, b: DataFrame) -> DataFrame:
-        x = a.withColumns({"ci": F.floor(F.col("start1") / cell), "cj": F.floor(F.col("start2") / cell)})
-        spread = lambda c: F.explode(F.expr(f"sequence(floor({c} / {cell}) - 1, floor({c} / {cell}) + 1)"))
-        y = b.select("chrom", F.col("start1").alias("o_start1"), F.col("start2").alias("o_start2"), F.col("support").alias("o_support"))
-        y = y.withColumn("ci", spread("o_start1")).withColumn("cj", spread("o_start2"))
-        return x.join(y, ["chrom", "ci", "cj"]).where((F.abs(F.col("start1") - F.col("o_start1")) <= reach * width) & (F.abs(F.col("start2") - F.col("o_start2")) <= reach * width))
-
-    while True:
-        k += 1
-        beaten = conflicts(left, left).where(rank("o_") < rank("")).select(*key).distinct()
-        won = keep(left.join(beaten, key, "left_anti"), f"won{k}")
-        chosen = won if chosen is None else chosen.unionByName(won)
-        gone = conflicts(left, won).select(*key).distinct()
-        left = keep(left.join(gone, key, "left_anti"), f"left{k}")
-        if left.isEmpty():
-            return chosen
-
-
-def consensus_loops(calls: DataFrame, width: int, tol: int, min_support: int, sizes: DataFrame, keep: Keep = _checkpoint) -> DataFrame:
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["support", "start1", "start2"], ascending=[False, True, True], kind="stable")
+        taken: dict[tuple[str, int, int], tuple[int, int]] = {}
+        keep = []
+        for c, x, y in zip(pdf["chrom"].tolist(), pdf["start1"].tolist(), pdf["start2"].tolist(), strict=True):
+            i, j = x // cell, y // cell
+            near = (taken.get((c, i + a, j + b)) for a in (-1, 0, 1) for b in (-1, 0, 1))
+            keep.append(not any(o and abs(o[0] - x) <= reach * width and abs(o[1] - y) <= reach * width for o in near))
+            if keep[-1]:
+                taken[c, i, j] = (x, y)
+        return pdf[keep][names]
+
+    names = seeds.columns
+    if not reach:  # places are distinct
+        return seeds
+    grouped = cut_at_gaps(seeds, ["chrom"], "start1", reach * width, "__run1")
+    grouped = cut_at_gaps(grouped, ["chrom", "__run1"], "start2", reach * width, "__run2")
+    return grouped.groupBy(_group()).applyInPandas(choose, seeds.schema)
+
+
+def consensus_loops(calls: DataFrame, width: int, tol: int, min_support: int, sizes: DataFrame) -> DataFrame:
     """Loops that enough samples call within tol bins: one footprint each, votes counted once per sample, footprints clipped to the chromosome."""
     seeds = tolerant_support(calls, width, tol).where(F.col("support") >= min_support)
-    chosen = spaced_representatives(seeds, width, 2 * tol, keep).join(F.broadcast(sizes), "chrom")
+    chosen = spaced_representatives(seeds, width, 2 * tol).join(F.broadcast(sizes), "chrom")
     low = lambda c: F.greatest(F.col(c) - tol * width, F.lit(0))
     high = lambda c: F.least(F.col(c) + (tol + 1) * width, F.col("size"))
     return chosen.select(F.col("chrom").alias("chrom1"), low("start1").alias("start1"), high("start1").alias("end1"), F.col("chrom").alias("chrom2"), low("start2").alias("start2"), high("start2").alias("end2"), "support", F.array_join("samples", ",").alias("samples"))
@@ -73,18 +82,27 @@ def candidate_matches(a: DataFrame, b: DataFrame, width: int, tol: int) -> DataF
     return x.join(y, ["chrom", "o1", "o2"]).withColumn("distance", F.abs(F.col("p1") - F.col("o1")) + F.abs(F.col("p2") - F.col("o2")))
 
 
-def greedy_matching(edges: DataFrame, keep: Keep = _checkpoint) -> DataFrame:
-    """One-to-one pairs taken greedily by (distance, primary, other)."""
-    left, out, k = keep(edges, "edges"), None, 0
-    order = ["distance", "p1", "p2", "o1", "o2"]
-    while True:
-        k += 1
-        mine, other = Window.partitionBy("chrom", "p1", "p2").orderBy(*order), Window.partitionBy("chrom", "o1", "o2").orderBy(*order)
-        best = keep(left.withColumn("a", F.row_number().over(mine)).withColumn("b", F.row_number().over(other)).where("a = 1 and b = 1").drop("a", "b"), f"best{k}")
-        out = best if out is None else out.unionByName(best)
-        left = keep(left.join(best.select("chrom", "p1", "p2"), ["chrom", "p1", "p2"], "left_anti").join(best.select("chrom", "o1", "o2"), ["chrom", "o1", "o2"], "left_anti"), f"left{k}")
-        if left.isEmpty():
-            return out
+def greedy_matching(edges: DataFrame) -> DataFrame:
+    """One-to-one pairs taken greedily by (distance, primary, other).
+
+    Pairs with an end in common lie within twice the largest distance.
+    """
+    order, names = ["distance", "p1", "p2", "o1", "o2"], edges.columns
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        primary, other, keep = set(), set(), []
+        for c, p1, p2, o1, o2 in zip(*(pdf[x].tolist() for x in ["chrom", *order[1:]]), strict=True):
+            keep.append((c, p1, p2) not in primary and (c, o1, o2) not in other)
+            if keep[-1]:
+                primary.add((c, p1, p2))
+                other.add((c, o1, o2))
+        return pdf[keep][names]
+
+    gap = 2 * (edges.agg(F.max("distance")).first()[0] or 0)
+    grouped = cut_at_gaps(edges, ["chrom"], "p1", gap, "__run1")
+    grouped = cut_at_gaps(grouped, ["chrom", "__run1"], "p2", gap, "__run2")
+    return grouped.groupBy(_group()).applyInPandas(choose, edges.schema)
 
 
 def concordance_summary(a: DataFrame, b: DataFrame, matched: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.coords import replicate_status
+
 
 def bin_pairs(pairs: DataFrame, width: int, by: list[str]) -> DataFrame:
     """Pairs counted on the grid, the smaller (chrom, position) first."""
@@ -143,32 +145,64 @@ def balance_each(pixels: DataFrame, by: str, ignore_diags: int = 2, min_nnz: int
     return reduce(DataFrame.unionByName, done, left).withColumnRenamed("w", "weight"), found
 
 
-def concordance(contacts: DataFrame, a: str, b: str, width: int, h: int, max_dist: int) -> DataFrame:
-    """Stratum-adjusted correlation of two samples by chromosome: box-smoothed diagonals, correlated one by one and averaged with rank-variance weights."""
-    pos = contacts.where(F.col("sample").isin(a, b)).select("sample", "chrom", F.floor(F.col("start1") / width).alias("x"), F.floor(F.col("start2") / width).alias("y"), "score").groupBy("sample", "chrom", "x", "y").agg(F.sum("score").alias("v"))
+#: Value of a chromosome that can't be scored.
+UNSCORED = -2.0
+
+
+def thinned(score: Column, key: Column, keep: Column) -> Column:
+    """How many of a pixel's contacts stay when each does with probability keep / 2^32, by a hash of the pixel's key and the contact."""
+    roll = lambda i: F.conv(F.substring(F.md5(F.concat_ws("|", key, i.cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
+    return F.when(keep >= 1 << 32, score).otherwise(F.size(F.filter(F.sequence(F.lit(1).cast("long"), score), lambda i: roll(i) < keep)).cast("long"))
 
-    def scc(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = int(pdf[["x", "y"]].to_numpy().max()) + 1
-        dense = []
-        for s in (a, b):
-            m, part = np.zeros((n, n)), pdf[pdf["sample"] == s]
-            m[part.x, part.y] = part.v
-            m = np.maximum(m, m.T)
-            pad = np.pad(m, h)
-            dense.append(sum(pad[i : i + n, j : j + n] for i in range(2 * h + 1) for j in range(2 * h + 1)) / (2 * h + 1) ** 2)
-        top = bottom = 0.0
-        for d in range(1, min(n, max_dist // width + 1)):
-            x, y = (np.diagonal(m, d) for m in dense)
-            keep = (x > 0) | (y > 0)
-            x, y = x[keep], y[keep]
-            if len(x) < 3 or x.std() == 0 or y.std() == 0:
-                continue
-            rank = lambda v: np.argsort(np.argsort(v, kind="stable"), kind="stable") / len(v)
-            w = len(x) * np.sqrt(rank(x).var() * rank(y).var())
-            top, bottom = top + w * np.corrcoef(x, y)[0, 1], bottom + w
-        return pd.DataFrame({"chrom": [pdf["chrom"].iat[0]], "scc": [top / bottom if bottom else None]})
 
-    return pos.groupBy("chrom").applyInPandas(scc, "chrom string, scc double")
+def concordance(contacts: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, h: int, max_dist: int) -> DataFrame:
+    """Stratum-adjusted correlation (a, b, chrom, scc) of pairs (a, b) of samples by chromosome; sizes: (chrom, size).
+
+    Of both samples the deeper one is thinned to the other's contacts on the chromosome.
+    Matrices are box-smoothed over 2h + 1 bins, diagonals correlated one by one over pixels
+    that either has, and averaged with the weight n (1 - 1/n^2) / 12 of n ranks. All of it is
+    sums over pixels, none of it a matrix. A chromosome without a diagonal of three pixels
+    and of some variance gets UNSCORED.
+    """
+    pos = contacts.select("sample", "chrom", F.floor(F.col("start1") / width).alias("x"), F.floor(F.col("start2") / width).alias("y"), F.col("score").cast("long").alias("v")).groupBy("sample", "chrom", "x", "y").agg(F.sum("v").alias("v"))
+    total = pos.groupBy("sample", "chrom").agg(F.sum("v").alias("total"))
+    side = F.explode(F.array(F.struct(F.col("a").alias("sample"), F.col("b").alias("other")), F.struct(F.col("b").alias("sample"), F.col("a").alias("other")))).alias("side")
+    depth = pairs.select("a", "b", side).select("a", "b", "side.*").join(total, "sample").join(total.toDF("other", "chrom", "other_total"), ["other", "chrom"])
+    limit = F.floor(F.least("total", "other_total") * F.lit(1 << 32).cast("decimal(20,0)") / F.col("total")).cast("long")
+    px = pos.join(depth.select("a", "b", "sample", "chrom", limit.alias("keep")), ["sample", "chrom"])
+    px = px.withColumn("v", thinned(F.col("v"), F.concat_ws("|", "a", "b", "chrom", "x", "y"), F.col("keep"))).where("v > 0")
+    both = px.select("a", "b", "sample", "chrom", "x", "y", "v").unionByName(px.where("x <> y").select("a", "b", "sample", "chrom", F.col("y").alias("x"), F.col("x").alias("y"), "v"))
+    off = lambda: F.explode(F.sequence(F.lit(-h), F.lit(h)))
+    near = both.withColumn("i", off()).withColumn("j", off()).select("a", "b", "sample", "chrom", (F.col("x") + F.col("i")).alias("x"), (F.col("y") + F.col("j")).alias("y"), "v")
+    inside = near.withColumn("d", F.col("y") - F.col("x")).where((F.col("d") >= 1) & (F.col("d") <= max_dist // width) & (F.col("x") >= 0))
+    inside = inside.join(F.broadcast(sizes.select("chrom", "size")), "chrom").where(F.col("y") * width < F.col("size"))
+    at = lambda s: F.sum(F.when(F.col("sample") == F.col(s), F.col("v")).otherwise(0)).cast("double")
+    cell = inside.groupBy("a", "b", "chrom", "x", "d").agg(at("a").alias("p"), at("b").alias("q"))
+    sums = cell.groupBy("a", "b", "chrom", "d").agg(F.count("*").alias("n"), F.sum("p").alias("sp"), F.sum("q").alias("sq"), F.sum(F.col("p") * F.col("p")).alias("pp"), F.sum(F.col("q") * F.col("q")).alias("qq"), F.sum(F.col("p") * F.col("q")).alias("pq"))
+    vp, vq = F.expr("n * pp - sp * sp"), F.expr("n * qq - sq * sq")
+    rho = sums.where((F.col("n") >= 3) & (vp > 0) & (vq > 0)).withColumns({"r": F.expr("n * pq - sp * sq") / F.sqrt(vp) / F.sqrt(vq), "w": F.expr("n * (1 - 1 / (cast(n as double) * n)) / 12")})
+    scored = rho.groupBy("a", "b", "chrom").agg((F.sum(F.col("w") * F.col("r")) / F.sum("w")).alias("scc"))
+    every = pairs.join(total.select(F.col("sample").alias("a"), "chrom"), "a").select("a", "b", "chrom").union(pairs.join(total.select(F.col("sample").alias("b"), "chrom"), "b").select("a", "b", "chrom")).distinct()
+    return every.join(scored, ["a", "b", "chrom"], "left").withColumn("scc", F.coalesce("scc", F.lit(UNSCORED)))
+
+
+def replicate_report(scc: DataFrame, depth: DataFrame, threshold: float, min_contacts: int) -> DataFrame:
+    """A row for each sample of depth (sample, contacts): its pairs' mean, least, median and largest concordance and the status.
+
+    A pair's concordance is the mean over scored chromosomes; pairs with a sample under the floor
+    of contacts are confounded by depth and don't count.
+    """
+    mean = scc.where(F.col("scc") > UNSCORED).where(~F.isnan("scc")).groupBy("a", "b").agg(F.avg("scc").alias("scc"))
+    deep = lambda c: depth.select(F.col("sample").alias(c), F.col("contacts").alias(f"{c}_contacts"))
+    told = mean.join(deep("a"), "a").join(deep("b"), "b").withColumn("confounded", F.least("a_contacts", "b_contacts") < min_contacts)
+    own = told.select(F.explode(F.array("a", "b")).alias("sample"), "scc", "confounded")
+    good = F.when(~F.col("confounded"), F.col("scc"))
+    stats = own.groupBy("sample").agg(
+        F.count(good).alias("n_pairs"), F.count_if("confounded").alias("n_confounded"), F.avg(good).alias("mean"), F.min(good).alias("lo"), F.median(good).alias("mid"), F.max(good).alias("hi"),
+        replicate_status(good, threshold).alias("status"),
+    )
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return depth.join(stats, "sample", "left").select("sample", "contacts", zero("n_pairs"), zero("n_confounded"), "mean", "lo", "mid", "hi", F.coalesce("status", F.lit("NOT_ASSESSED")).alias("status"))
 
 
 def eigenvector(contacts: DataFrame, width: int) -> DataFrame:

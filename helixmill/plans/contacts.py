@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -119,12 +121,12 @@ def prj02_snap_midpoints(spark, d):
     return c.select("sample", "chrom", F.least(a, b).alias("start1"), F.greatest(a, b).alias("start2"), "score").where("start1 <> start2").groupBy("sample", "chrom", "start1", "start2").agg(F.sum("score").alias("score"))
 
 
-@query(f"""{_BASE}, l AS (SELECT DISTINCT chrom1 AS chrom, start1, start1 + 15000 AS e1, start2, start2 + 10000 AS e2 FROM elig WHERE start1 % 10000 = 0),
+@query(f"""{_BASE}, l AS (SELECT DISTINCT chrom1 AS chrom, start1, start1 + 15000 AS e1, start2, start2 + 10000 AS e2 FROM elig),
 px AS (SELECT DISTINCT chrom, start1, start2, least(x, y) * 5000 AS p1, greatest(x, y) * 5000 AS p2 FROM (SELECT *, unnest(range(start1 // 5000, (e1 - 1) // 5000 + 1)) AS x FROM l) a, unnest(range(start2 // 5000, (e2 - 1) // 5000 + 1)) AS u(y) WHERE (y - x) * 5000 BETWEEN 20000 AND 3000000)
 SELECT l.chrom, l.start1, l.start2, s.sample, CAST(coalesce(sum(c.score), 0) AS BIGINT) AS n FROM l CROSS JOIN (SELECT DISTINCT sample FROM contacts) s LEFT JOIN px USING (chrom, start1, start2) LEFT JOIN contacts c ON c.sample = s.sample AND c.chrom = px.chrom AND c.start1 = p1 AND c.start2 = p2 GROUP BY ALL""")
 def pip04_loop_counts(spark, d):
     """Contacts in all pixels that a loop's anchors span; shared pixels count for every loop."""
-    e = eligible(spark, d).where("start1 % 10000 = 0").select("chrom1", "start1", (F.col("start1") + 15000).alias("end1"), "chrom2", "start2", (F.col("start2") + 10000).alias("end2")).distinct()
+    e = eligible(spark, d).select("chrom1", "start1", (F.col("start1") + 15000).alias("end1"), "chrom2", "start2", (F.col("start2") + 10000).alias("end2")).distinct()
     out = matrix.count_loops(e, table(spark, d, "contacts"), WIDTH, LOWER, UPPER, ["chrom1", "start1", "end1", "start2", "end2"])
     return out.select(F.col("chrom1").alias("chrom"), "start1", "start2", "sample", "n")
 
@@ -181,14 +183,14 @@ def _places(spark, d, sample):
 @query(f"{_MATCH0} SELECT np AS n_primary, no AS n_other, k AS n_matched, k / nullif(np + no - k, 0) AS jaccard, k / nullif(np, 0) AS primary_share, k / nullif(no, 0) AS other_share FROM m, n")
 def set06_exact_concordance(spark, d):
     a, b = _places(spark, d, "s0"), _places(spark, d, "s2")
-    return matching.concordance_summary(a, b, matching.greedy_matching(matching.candidate_matches(a, b, WIDTH, 0), _keep(spark)))
+    return matching.concordance_summary(a, b, matching.greedy_matching(matching.candidate_matches(a, b, WIDTH, 0)))
 
 
 @query()
 def join15_tolerant_matching(spark, d):
     """One-to-one matches within one bin, nearest first."""
     a, b = _places(spark, d, "s0"), _places(spark, d, "s2")
-    return matching.greedy_matching(matching.candidate_matches(a, b, WIDTH, 1), _keep(spark))
+    return matching.greedy_matching(matching.candidate_matches(a, b, WIDTH, 1))
 
 
 @query(f"""{_BASE}, p AS (SELECT DISTINCT chrom1 AS chrom, start1 AS p1, start2 AS p2 FROM elig WHERE sample = 's0'), o AS (SELECT DISTINCT chrom1 AS chrom, start1 AS o1, start2 AS o2 FROM elig WHERE sample = 's2')
@@ -206,37 +208,41 @@ def join16_tolerant_support(spark, d):
 
 
 def _keep(spark: SparkSession):
-    """Writes a round's table: to the session's checkpoint folder, or one of our own where none is set."""
+    """Writes a round's table to the checkpoint folder: the session's, or one of our own where none is set and all run on this machine."""
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="helixmill-"))
-    return matching._checkpoint
+        at = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        if not at and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(at or tempfile.mkdtemp(prefix="helixmill-"))
+    return lambda df, name: df.checkpoint().toDF(*df.columns)
 
 
 @query()
 def pip06_consensus_loops(spark, d):
     """Loops that at least three samples call within a bin."""
     p = eligible(spark, d).select("sample", F.col("chrom1").alias("chrom"), "start1", "start2")
-    return matching.consensus_loops(p, WIDTH, 1, 3, table(spark, d, "chroms"), _keep(spark))
+    return matching.consensus_loops(p, WIDTH, 1, 3, table(spark, d, "chroms"))
 
 
 @query(f"{_BASE} SELECT chrom1, start1, start1 + 5000 AS end1, chrom1 AS chrom2, start2, start2 + 5000 AS end2, count(DISTINCT sample) AS support, string_agg(DISTINCT sample, ',' ORDER BY sample) AS samples FROM elig GROUP BY ALL HAVING count(DISTINCT sample) >= 2")
 def pip06_consensus_exact(spark, d):
     """Without tolerance a consensus is a count."""
     p = eligible(spark, d).select("sample", F.col("chrom1").alias("chrom"), "start1", "start2")
-    out = matching.consensus_loops(p, WIDTH, 0, 2, table(spark, d, "chroms"), _keep(spark))
+    out = matching.consensus_loops(p, WIDTH, 0, 2, table(spark, d, "chroms"))
     return out.withColumn("support", F.col("support").cast("long"))
 
 
 _RANK = "CASE WHEN chrom1 = 'chrX' THEN 23 WHEN chrom1 = 'chrY' THEN 24 WHEN chrom1 LIKE 'chrUn%' THEN 1000000 ELSE CAST(substr(chrom1, 4) AS INTEGER) END"
 
 
-@query(f"{_BASE} SELECT chrom1, start1, start2, support, CAST(row_number() OVER (ORDER BY {_RANK}, start1, start2) AS INTEGER) AS place FROM cand QUALIFY place <= 50")
+@query(f"{_BASE} SELECT chrom1, start1, start2, support, CAST(row_number() OVER (ORDER BY {_RANK}, start1, start2) AS INTEGER) AS place FROM cand")
 def sort05_natural_order(spark, d):
+    """Every candidate's place in natural order: its place on the chromosome after all of the chromosomes before."""
     u = universe.support(eligible(spark, d), MIN_SAMPLES).withColumn("r", fn.natural_rank(F.col("chrom1")))
-    top = u.orderBy("r", "start1", "start2").limit(50)  # a report's first rows
-    return top.withColumn("place", F.row_number().over(Window.orderBy("r", "start1", "start2"))).select("chrom1", "start1", "start2", "support", "place")
+    sizes = u.groupBy("r", "chrom1").agg(F.count("*").alias("n"))
+    before = sizes.select("chrom1", (F.sum("n").over(Window.orderBy("r", "chrom1")) - F.col("n")).alias("before"))  # a row for each chromosome
+    own = F.row_number().over(Window.partitionBy("chrom1").orderBy("start1", "start2"))
+    return u.withColumn("own", own).join(F.broadcast(before), "chrom1").select("chrom1", "start1", "start2", "support", (F.col("before") + F.col("own")).cast("int").alias("place"))
 
 
 @query(f"{cte('loops')} SELECT chrom1, start1, start2, sample, score, fdr FROM loops ORDER BY fdr, chrom1, start1, start2, sample LIMIT 12")

@@ -57,12 +57,12 @@ def prj11_clean_track(spark, d):
     return reporting.clean_track(raw)
 
 
-@query(f"""{_BASE}, l AS (SELECT DISTINCT chrom1 AS chrom, start1, start2 FROM elig WHERE start1 % 10000 = 0),
+@query(f"""{_BASE}, l AS (SELECT DISTINCT chrom1 AS chrom, start1, start2 FROM elig),
 px AS (SELECT *, unnest(range(start1 // 5000, start1 // 5000 + 3)) AS x FROM l), py AS (SELECT *, unnest(range(start2 // 5000, start2 // 5000 + 2)) AS y FROM px)
 SELECT chrom, start1, start2, least(x, y) * 5000 AS px1, greatest(x, y) * 5000 AS px2 FROM py WHERE (y - x) * 5000 BETWEEN 20000 AND 3000000""")
 def prj13_spanned_pixels(spark, d):
     """Every pixel that a loop's anchors of three and two bins span."""
-    wide = eligible(spark, d).where("start1 % 10000 = 0").select("chrom1", "start1", (F.col("start1") + 15000).alias("end1"), "chrom2", "start2", (F.col("start2") + 10000).alias("end2")).distinct()
+    wide = eligible(spark, d).select("chrom1", "start1", (F.col("start1") + 15000).alias("end1"), "chrom2", "start2", (F.col("start2") + 10000).alias("end2")).distinct()
     px = matrix.loop_pixels(wide, WIDTH, LOWER, UPPER, PLACE)
     return px.select(F.col("chrom1").alias("chrom"), "start1", "start2", F.col("px_start1").alias("px1"), F.col("px_start2").alias("px2"))
 
@@ -295,11 +295,11 @@ def fn05_strict_integers(spark, d):
     return table(spark, d, "events").select("event_id", fn.strict_int(F.expr(_NUMBER_TEXT)).alias("whole"))
 
 
-@query("""WITH n AS (SELECT c_nationkey AS nation, count(*) AS pairs FROM customer WHERE c_custkey % 11 = 0 GROUP BY ALL)
-SELECT nation, CASE WHEN pairs < 2 THEN 'TOO_FEW_PAIRS' WHEN pairs < 8 THEN 'PILOT_UNDERPOWERED' ELSE 'STANDARD_INFERENCE' END AS status FROM n""")
+@query("""WITH n AS (SELECT c_nationkey AS nation, c_mktsegment AS segment, count(*) AS pairs FROM customer GROUP BY ALL)
+SELECT nation, segment, CASE WHEN pairs < 2 THEN 'TOO_FEW_PAIRS' WHEN pairs < 8 THEN 'PILOT_UNDERPOWERED' ELSE 'STANDARD_INFERENCE' END AS status FROM n""")
 def fn10_design_status(spark, d):
-    n = table(spark, d, "customer").where("c_custkey % 11 = 0").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count("*").alias("pairs"))
-    return n.select("nation", fn.design_status(F.col("pairs"), 8).alias("status"))
+    n = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("pairs"))
+    return n.select("nation", "segment", fn.design_status(F.col("pairs"), 8).alias("status"))
 
 
 @query(f"""{cte('qc')} SELECT sample, CASE WHEN sample % 5 = 0 OR sample % 5 = 4 THEN 'NOT_ASSESSED' WHEN sample % 2 = 0 THEN 'PASS' ELSE 'WARN' END AS balance,
@@ -468,11 +468,11 @@ def pip01_normalised_audit(spark, d):
     return kept.groupBy("sample").agg(F.count("*").alias("retained"), F.count_if(F.col("score") >= MIN_COUNT).alias("eligible"), F.count_if(F.col("p.value") > 0.05).alias("above_q"), F.count_if(F.col("p.value").isNull()).alias("missing_q"))
 
 
-@query(f"""{cte('design')}, st AS (SELECT concat('d', CAST(o_custkey AS VARCHAR)) AS sample, CAST(floor(o_totalprice) AS BIGINT) + 1 AS length FROM orders WHERE o_orderkey % 3 = 0)
+@query(f"""{cte('design')}, st AS (SELECT concat('d', CAST(o_custkey AS VARCHAR)) AS sample, CAST(floor(o_totalprice) AS BIGINT) + 1 AS length FROM orders)
 SELECT d.sample_id AS sample, d.arm AS mark, 5000 AS resolution, count(st.length) AS n_stripes, coalesce(round(median(st.length) / 1000, 1), 0.0) AS median_length_kb, coalesce(round(max(st.length) / 1000, 1), 0.0) AS max_length_kb
 FROM design d LEFT JOIN st ON st.sample = d.sample_id GROUP BY ALL ORDER BY 2, 1""")
 def pip16_stripe_summary(spark, d):
     """Stripes of every sample by mark; samples without any have zeros."""
     samples = table(spark, d, "design").select(F.col("sample_id").alias("sample"), F.col("arm").alias("mark"))
-    st = table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.concat(F.lit("d"), "o_custkey").alias("sample"), (F.floor("o_totalprice") + 1).alias("length"))
+    st = table(spark, d, "orders").select(F.concat(F.lit("d"), "o_custkey").alias("sample"), (F.floor("o_totalprice") + 1).alias("length"))
     return reporting.stripe_summary(samples, st, WIDTH)

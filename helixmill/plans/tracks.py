@@ -232,11 +232,6 @@ def mdl05_balanced_weights(spark, d):
     return w.join(F.broadcast(known), "sample").select("sample", "bin_id", "weight", fn.balance_status(F.lit(True), F.col("converged")).alias("status"), "variance")
 
 
-@query()
-def mdl04_concordance(spark, d):
-    return matrix.concordance(table(spark, d, "contacts").where(fn.primary(F.col("chrom")) & (F.col("chrom") != "chrX")), "s0", "s1", 25_000, 1, 5_000_000)
-
-
 @query()
 def mdl06_eigenvector(spark, d):
     return matrix.eigenvector(table(spark, d, "contacts"), 25_000)
@@ -262,18 +257,6 @@ def pip09_mean_window(spark, d):
     return aggregate_peaks.mean_window(cells).select("dy", "dx", F.round("mean", 6).alias("mean"), "n")
 
 
-@query()
-def pip09_matched_ratio(spark, d):
-    """Loops' centres over matched controls', with a bootstrap interval."""
-    loops, one = _apa_loops(spark, d), _one_sample(spark, d)
-    ends = one.select("chrom", F.explode(F.array("start1", "start2")).alias("start"), "score").groupBy("chrom", "start").agg(F.sum("score").alias("total"))
-    shifts = aggregate_peaks.matched_shifts(loops, ends, WIDTH, 5, 5, 1.5, 200_000, attempts=40)
-    value = lambda df: df.join(one, ["chrom", "start1", "start2"], "left").withColumn("v", F.coalesce("score", F.lit(0)).cast("double"))
-    real = value(loops).groupBy("loop_id").agg(F.avg("v").alias("real"))
-    control = value(shifts).groupBy("loop_id").agg(F.avg("v").alias("control"))
-    return aggregate_peaks.bootstrap_ratio(real.join(control, "loop_id"))
-
-
 @query("""SELECT c.s_nationkey AS nation, 1 AS x, count(*) AS n, median(s_acctbal) AS med, round(max(s_acctbal) / 1000, 1) AS longest FROM supplier c GROUP BY ALL""")
 def agg09_stripe_statistics(spark, d):
     """Number, median and longest by group."""
@@ -292,9 +275,9 @@ def pip14_overall_status(spark, d):
     return q.select("sample", s.alias("status")).withColumn("overall_pass", fn.pass_or_null(F.col("status")))
 
 
-@query(f"{cte('qc')} SELECT CAST(dup_pct AS BIGINT) % 10 AS grp, CASE WHEN count(cis_fraction) = 0 THEN 'NOT_ASSESSED' WHEN bool_and(cis_fraction >= 0.7) THEN 'PASS' WHEN NOT bool_or(cis_fraction >= 0.7) THEN 'FAIL' ELSE 'DISCORDANT' END AS status, min(cis_fraction) AS lo, max(cis_fraction) AS hi, median(cis_fraction) AS mid, round(avg(cis_fraction), 9) AS mean FROM qc WHERE sample % 5 < 2 GROUP BY ALL")
+@query(f"{cte('qc')} SELECT CAST(dup_pct AS BIGINT) % 10 AS grp, CASE WHEN count(cis_fraction) = 0 THEN 'NOT_ASSESSED' WHEN bool_and(cis_fraction >= 0.7) THEN 'PASS' WHEN NOT bool_or(cis_fraction >= 0.7) THEN 'FAIL' ELSE 'DISCORDANT' END AS status, min(cis_fraction) AS lo, max(cis_fraction) AS hi, median(cis_fraction) AS mid, round(avg(cis_fraction), 9) AS mean FROM qc GROUP BY ALL")
 def fn09_replicate_status(spark, d):
-    q = table(spark, d, "qc").where("sample % 5 < 2")
+    q = table(spark, d, "qc")
     c = F.col("cis_fraction")
     return q.groupBy((F.col("dup_pct").cast("long") % 10).alias("grp")).agg(fn.replicate_status(c, 0.7).alias("status"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.median(c).alias("mid"), F.round(F.avg(c), 9).alias("mean"))
 

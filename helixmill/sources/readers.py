@@ -76,7 +76,7 @@ def _headed(spark: SparkSession, path: str) -> DataFrame | None:
         return None
     first = lines.first()["value"].split("\t")
     names = [c.strip().lstrip("#") for c in first]
-    wide = any(n.lower() in ALIASES["chrom1"] for n in names)
+    wide = any(n.lower() in ALIASES["chrom1"] for n in names) and not any(n.isdigit() for n in names)  # a chromosome may be named like a column
     if not wide and len(names) < 6:
         raise ContractError(f"not a paired-interval table: {names}")
     columns = names if wide else [*COORDS, *(f"field{i}" for i in range(7, len(names) + 1))]

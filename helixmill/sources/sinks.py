@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+import contextlib
 import gzip
 import hashlib
 import json
 import os
 import tempfile
-from typing import Any
+from collections.abc import Iterator
+from typing import Any, BinaryIO
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _publish(path: str, data: bytes) -> None:
+@contextlib.contextmanager
+def _published(path: str) -> Iterator[BinaryIO]:
+    """A file that appears under its path when it is whole."""
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     fd, temp = tempfile.mkstemp(dir=os.path.dirname(os.path.abspath(path)))
     with os.fdopen(fd, "wb") as f:
-        f.write(data)
+        yield f
     os.replace(temp, path)
 
 
+def _publish(path: str, data: bytes) -> None:
+    with _published(path) as f:
+        f.write(data)
+
+
 def write_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     """Parquet by Spark's commit protocol, partitioned by columns that readers prune on."""
     writer = df.write.mode("overwrite")
@@ -28,10 +37,16 @@ def write_table(df: DataFrame, path: str, by: list[str] | None = None) -> None:
 
 
 def write_text(df: DataFrame, path: str, order: list[str], header: bool = True, packed: bool = True) -> None:
-    """A tab-separated export in a fixed order, the header once, gzip without a time stamp. Rows stream to the driver."""
+    """A tab-separated export in a fixed order, the header once, gzip without a time stamp.
+
+    Rows go through the driver partition by partition into the file. Without rows a header is all there is.
+    """
     rows = df.orderBy(*order).select(F.concat_ws("\t", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns)).alias("v"))
-    text = ("\t".join(df.columns) + "\n" if header else "") + "".join(r["v"] + "\n" for r in rows.toLocalIterator())
-    _publish(path, gzip.compress(text.encode(), mtime=0) if packed else text.encode())
+    with _published(path) as raw, gzip.GzipFile(filename="", mode="wb", fileobj=raw, mtime=0) if packed else contextlib.nullcontext(raw) as f:
+        if header:
+            f.write(("\t".join(df.columns) + "\n").encode())
+        for r in rows.toLocalIterator():
+            f.write((r["v"] + "\n").encode())
 
 
 def write_bedpe(df: DataFrame, path: str) -> None:

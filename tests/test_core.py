@@ -100,6 +100,28 @@ def test_seventy_five_thousand_seeds(spark):
     assert matching.spaced_representatives(df, 5000, 2).count() == 75_000
 
 
+def test_seventy_five_thousand_dense_seeds(spark):
+    import time
+
+    side = 274  # all of equal support and next to each other: one conflict chain through the whole square
+    df = spark.range(75_000).select(F.lit("chr1").alias("chrom"), ((F.col("id") / side).cast("long") * 5000).alias("start1"), (F.col("id") % side * 5000).alias("start2"), F.lit(2).alias("support"))
+    began = time.time()
+    got = {(r["start1"], r["start2"]) for r in matching.spaced_representatives(df, 5000, 2).collect()}
+    assert time.time() - began < 60
+    assert got == {(a * 5000, b * 5000) for a in range(0, side, 3) for b in range(0, side, 3) if a * side + b < 75_000}
+
+
+def test_twenty_thousand_loops_against_as_many(spark):
+    import time
+
+    place = lambda shift: spark.range(20_000).select(F.lit("chr1").alias("chrom"), (F.col("id") % 200 * 10_000 + shift).alias("start1"), ((F.col("id") / 200).cast("long") * 10_000).alias("start2"))
+    began = time.time()
+    edges = matching.candidate_matches(place(0), place(10_000), 10_000, 1)
+    got = matching.greedy_matching(edges)
+    assert got.count() == 19_900 and got.where("distance = 0").count() == 19_900
+    assert edges.count() <= 9 * 20_000 and time.time() - began < 90
+
+
 def test_matching_equals_sequential_choice(spark):
     rng = random.Random(8)
     a, b = ({(rng.randrange(12) * 10000, rng.randrange(12) * 10000) for _ in range(50)} for _ in range(2))
