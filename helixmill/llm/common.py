@@ -109,6 +109,20 @@ def text_slices(texts: pa.Array, rows: int = 512, size: int = 1 << 22) -> Iterat
     return runs(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64), rows, size)
 
 
+#: Bytes of an Arrow batch of texts: a task holds one on either side.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Has the session's Arrow batches be of BATCH_BYTES at most, where it lets them be larger.
+
+    By rows alone a batch of long texts is a whole partition.
+    """
+    if int(spark.conf.get(_BATCH).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH, f"{BATCH_BYTES}b")
+
+
 _trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, give_back, text_slices
+from .common import give_back, small_batches, text_slices, Scratch
 
 MIN_TILE = 5
 COVERAGE = 0.75
@@ -223,6 +223,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
 
 
 def _matches(spark: SparkSession, items: list[tuple[int, str | None]], coverage: float, text: Column) -> Column:
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(SeedIndex(items, MIN_TILE, coverage))
     tiles = pa.list_(pa.struct([("item_word", pa.int32()), ("doc_word", pa.int32()), ("length", pa.int32())]))
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("n_tiles", pa.int32()), ("longest", pa.int32()), ("tiles", tiles)]))

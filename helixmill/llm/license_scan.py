@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, text_slices
+from .common import give_back, small_batches, text_slices
 
 CONTAINMENT = 0.8
 #: Phrases that count as base places, with their labels.
@@ -184,6 +184,7 @@ def license_scan(
     """
     naming = NAMING if templates is None and naming is None else naming
     templates = TEMPLATES if templates is None else templates
+    small_batches(docs.sparkSession)
     vocabulary = frozenset(w for _, t in templates for w in words_of(t))
     counted = docs.select(text_col).mapInArrow(_block_counter(vocabulary), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = {bytes(r["word"]): r["n"] for r in counted.collect()}  # a row for each template word at most

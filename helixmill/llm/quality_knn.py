@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import give_back, held_out, text_slices
+from .common import give_back, held_out, small_batches, text_slices
 from .labelled import training_ids, training_texts
 
 #: Bound of the labelled sample, and so of what is broadcast: MAX_ROWS x RANK floats.
@@ -129,6 +129,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, target: str = "quality", max
 
 def quality_score(spark: SparkSession, model: LatentVoter, text: Column) -> Column:
     """The score of a text column, as a column: other columns stay as they are and don't reach Python."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(T.DoubleType())

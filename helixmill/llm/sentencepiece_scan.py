@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, give_back, runs, text_slices
+from .common import give_back, runs, small_batches, text_slices, Scratch
 
 CHUNK_CHARS = 16_384
 #: Chunks whose matrices one task combines.
@@ -268,6 +268,7 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     empty and has no ids. Repeated rows give repeated rows. An empty table gives no rows.
     A text's chunks are spread over all tasks; its ids, one value of the result, meet in one.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     scratch = Scratch(spark)
     get = _load(spark.sparkContext.broadcast(model))
@@ -379,6 +380,7 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
 
 def sp_decode(tokens: DataFrame, model: bytes) -> DataFrame:
     """tokens with a column decoded: the text of ids, without the added leading space. Null ids give an empty text."""
+    small_batches(tokens.sparkSession)
     shared = tokens.sparkSession.sparkContext.broadcast(piece_bytes(model))
 
     @F.arrow_udf("string")

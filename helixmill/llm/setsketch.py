@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, give_back, sift, text_slices
+from .common import give_back, sift, small_batches, text_slices, Scratch
 from .components import EDGES_A_TASK, components, joined_labels
 
 WORDS = 5
@@ -325,6 +325,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     an id but not the text count each by its own text; a null id has a row of its own with
     null component, kept. An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     scratch = Scratch(spark)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, path_exists, shared_folder, text_slices
+from .common import give_back, path_exists, shared_folder, small_batches, text_slices
 
 CACHE_SCHEMA = "digest string, n_tokens long"
 #: Up to so many missing digests (64 bytes each) are broadcast to keep texts with stored counts out of the shuffle.
@@ -36,6 +36,7 @@ def token_counts(
     Null text counts as empty and has no tokens. Repeated rows are counted each but encoded
     once. Two writers at once can append a key twice, so a key is read once.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     path = f"{cache_path.rstrip('/')}/{tokenizer_version(model)}"
     text = F.coalesce(F.col(text_col), F.lit(""))

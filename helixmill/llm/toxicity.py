@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import UPPER, give_back, held_out, text_slices
+from .common import UPPER, give_back, held_out, small_batches, text_slices
 from .labelled import training_ids, training_texts
 
 MAX_ROWS = 8000
@@ -251,6 +251,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, target: str = "toxic", max_
 
 
 def toxicity_score(spark: SparkSession, model: ToxicityModel, text: Column) -> Column:
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(T.DoubleType())
