@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, small_batches, text_slices, Scratch
+from .common import Scratch, give_back, small_batches, text_slices
 
 MIN_TILE = 5
 COVERAGE = 0.75

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, runs, small_batches, text_slices, Scratch
+from .common import Scratch, give_back, runs, small_batches, text_slices
 
 CHUNK_CHARS = 16_384
 #: Chunks whose matrices one task combines.

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, sift, small_batches, text_slices, Scratch
+from .common import Scratch, give_back, sift, small_batches, text_slices
 from .components import EDGES_A_TASK, components, joined_labels
 
 WORDS = 5
