@@ -17,7 +17,7 @@ def _chrom(k: str) -> str:
 
 
 _C22 = "concat('chr', CAST({} % 22 + 1 AS STRING))"
-_GRID = " UNION ALL ".join(f"SELECT {i} AS k" for i in range(71))
+_GRID = "SELECT k FROM range(71) AS z(k)"
 
 SQL = {
     "contacts": f"""SELECT sample, chrom, start1, start1 + gap * 5000 AS start2, CAST(sum(q) AS BIGINT) AS score FROM (
