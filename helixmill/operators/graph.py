@@ -5,17 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import BLOCK, by_width, carry, within
 from .contracts import assert_empty
 
+NODE_BLOCK = 10_000_000
+
 
 def node_index(bins: DataFrame) -> DataFrame:
     """bins (chrom, s, e) with a dense index from 0 in (chrom, s) order.
 
-    Ranks are taken within chromosomes and moved by the counts before them, so no partition holds all.
+    Ranks are taken within blocks of a chromosome and moved by the counts before them, so no
+    partition holds all; a block has one row of counts.
     """
-    sizes = bins.groupBy("chrom").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("chrom").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    return bins.join(F.broadcast(before), "chrom").withColumn("node", (F.row_number().over(Window.partitionBy("chrom").orderBy("s")) - 1 + F.col("offset")).cast("long")).drop("offset")
+    cut = by_width(bins, "s", NODE_BLOCK)
+    sizes = cut.groupBy("chrom", BLOCK).agg(F.count("*").alias("n"))
+    before = sizes.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("chrom", BLOCK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    return cut.join(before, ["chrom", BLOCK]).withColumn("node", (F.row_number().over(within(["chrom"]).orderBy("s")) - 1 + F.col("offset")).cast("long")).drop("offset", BLOCK)
 
 
 def loop_edges(loops: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -32,7 +37,8 @@ def loop_edges(loops: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
 
 def neighbour_edges(nodes: DataFrame) -> DataFrame:
-    nxt = nodes.withColumn("dst", F.lead("node").over(Window.partitionBy("chrom").orderBy("node"))).where("dst is not null").select(F.col("node").alias("src"), "dst")
+    after = carry(by_width(nodes, "node", 10_000), ["chrom"], __next=(F.min("node"), F.min, "later"))
+    nxt = after.select(F.col("node").alias("src"), F.coalesce(F.lead("node").over(within(["chrom"]).orderBy("node")), "__next").alias("dst")).where("dst is not null")
     return nxt.unionByName(nxt.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
 
