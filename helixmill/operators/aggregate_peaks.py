@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import numbered
+from .reporting import finite
+
 
 def usable_loops(loops: DataFrame, width: int, win: int, min_dist: int) -> DataFrame:
     """Cis loops far enough apart that the window doesn't meet the diagonal."""
@@ -52,18 +55,20 @@ def centre_ratio(mean: DataFrame, win: int, corner: int = 3) -> DataFrame:
     return one.withColumn("ratio", F.col("centre") / F.greatest("background", F.lit(1e-9)))
 
 
-def matched_controls(loops: DataFrame, bins: DataFrame, width: int, win: int, log2_tol: float, draws: int = 20, attempts: int = 200, limit: int = 1_000_000, seed: int = 42, first: int = 20) -> DataFrame:
+def matched_controls(loops: DataFrame, bins: DataFrame, width: int, win: int, log2_tol: float, draws: int = 20, attempts: int = 200, limit: int = 1_000_000, seed: int = 42, first: int = 20, keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DataFrame:
     """(chrom, start1, start2, draw, attempt, c1, c2): for each loop and draw the first attempt's shifted copy that fits.
 
     bins: (chrom, s, total, anchor, blocked, size). A copy fits whose window lies inside the
     chromosome, whose bins are off the blacklist, of the loop's own anchor classes, and within a
     log2 tolerance of its marginals. Loops without an anchor have none. Shifts are an md5 of
     seed, loop, draw and attempt, so they don't depend on the partitioning. Draws without a
-    fit among the first attempts go on to the others: the same result with fewer rows.
+    fit among the first attempts go on to the others: the same result with fewer rows. keep
+    writes a table that is read several times, under a name.
     """
+    bins = keep(bins, "bins")
     lo = (win + 1) * width
     side = lambda c, p: bins.select("chrom", F.col("s").alias(c), *(F.col(x).alias(f"{p}_{x}") for x in ("total", "anchor", "blocked", "size")))
-    known = loops.join(side("start1", "r1"), ["chrom", "start1"]).join(side("start2", "r2"), ["chrom", "start2"]).where("r1_anchor or r2_anchor")
+    known = keep(loops.join(side("start1", "r1"), ["chrom", "start1"]).join(side("start2", "r2"), ["chrom", "start2"]).where("r1_anchor or r2_anchor"), "known")
     todo = known.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
     key = F.md5(F.concat_ws("|", F.lit(seed), "chrom", "start1", "start2", "draw", "attempt").cast("binary"))
     number = lambda at, n: F.conv(F.substring(key, at, n), 16, 10).cast("long")
@@ -79,7 +84,7 @@ def matched_controls(loops: DataFrame, bins: DataFrame, width: int, win: int, lo
         ok = tries.where("not k1_blocked and not k2_blocked and k1_anchor = r1_anchor and k2_anchor = r2_anchor").where(near("k1_total", "r1_total") & near("k2_total", "r2_total"))
         return ok.groupBy("chrom", "start1", "start2", "draw").agg(F.min(F.struct("attempt", "c1", "c2")).alias("x")).select("chrom", "start1", "start2", "draw", "x.*")
 
-    early = fits(todo, 0, min(first, attempts))
+    early = keep(fits(todo, 0, min(first, attempts)), "early")
     if attempts <= first:
         return early
     return early.unionByName(fits(todo.join(early, ["chrom", "start1", "start2", "draw"], "left_anti"), first, attempts))
@@ -95,19 +100,18 @@ def matched_values(loops: DataFrame, controls: DataFrame, contacts: DataFrame) -
 
 
 def bootstrap_ratio(values: DataFrame, resamples: int = 500, seed: int = 42) -> DataFrame:
-    """values (loop_id, real, control): ratio of means, and its 2.5 and 97.5 percentiles over resampled loops.
+    """values (chrom, start1, start2, real, control): ratio of means, and its 2.5 and 97.5 percentiles over resamples of all loops.
 
-    A resample's sums are Poisson-weighted sums, built in one pass; no task holds all loops.
+    Loops are numbered by place; draw j of resample b is the loop md5(seed, b, j) modulo their
+    number, whatever the partitioning. values is read several times, so it should be a
+    written table. Loops without two finite values don't count.
     """
-
-    def weigh(batches):
-        for pdf in batches:
-            sums = np.zeros((resamples, 2))
-            for loop_id, real, control in zip(pdf["loop_id"], pdf["real"], pdf["control"], strict=True):
-                w = np.random.default_rng([seed, int(loop_id) & 0xFFFFFFFF]).poisson(1.0, resamples)
-                sums += w[:, None] * np.array([real, control])
-            yield pd.DataFrame({"b": np.arange(resamples), "real": sums[:, 0], "control": sums[:, 1]})
-
-    draws = values.where("real is not null and control is not null").select("loop_id", "real", "control").mapInPandas(weigh, "b int, real double, control double").groupBy("b").agg(F.when(F.sum("control") > 0, F.sum("real") / F.sum("control")).alias("r"))
-    whole = values.agg((F.avg("real") / F.greatest(F.avg("control"), F.lit(1e-9))).alias("ratio"), F.count("*").alias("n"))
-    return whole.crossJoin(draws.agg(F.percentile("r", 0.025).alias("low"), F.percentile("r", 0.975).alias("high")))  # one row each
+    known = values.where(finite(F.col("real")) & finite(F.col("control")))
+    loops = numbered(known, "chrom", "start1", 1_000_000, ["start1", "start2"], "i").select("i", F.col("real").cast("double").alias("real"), F.col("control").cast("double").alias("control"))
+    ratio = F.avg("real") / F.greatest(F.avg("control"), F.lit(1e-9))
+    whole = loops.agg(ratio.alias("ratio"), F.count("*").alias("n"))
+    key = F.md5(F.concat_ws("|", F.lit(seed), "b", "i").cast("binary"))
+    drawn = F.conv(F.substring(key, 1, 15), 16, 10).cast("long") % F.col("n")
+    draws = loops.select("i", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("b")).crossJoin(F.broadcast(whole.select("n"))).select("b", drawn.alias("i"))  # one row on the right
+    each = draws.join(loops, "i").groupBy("b").agg(ratio.alias("r"))
+    return whole.crossJoin(each.agg(F.percentile("r", 0.025).alias("low"), F.percentile("r", 0.975).alias("high")))  # one row each

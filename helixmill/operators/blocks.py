@@ -37,3 +37,16 @@ def within(by: list[str]):
 
 def by_width(df: DataFrame, column: str, width: int) -> DataFrame:
     return df.withColumn(BLOCK, F.floor(F.col(column) / width))
+
+
+def numbered(df: DataFrame, group: str, column: str, width: int, order: list[str], name: str) -> DataFrame:
+    """df with a dense number from 0 in the order of group, then order, whose first column is column.
+
+    Ranks are taken within blocks of a group and moved by the counts before them: no task
+    holds all rows, only a row of counts for each block.
+    """
+    cut = by_width(df, column, width)
+    sizes = cut.groupBy(group, BLOCK).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(group, BLOCK).rowsBetween(Window.unboundedPreceding, -1))
+    moved = cut.join(sizes.select(group, BLOCK, F.coalesce(before, F.lit(0)).alias("__before")), [group, BLOCK])
+    return moved.withColumn(name, (F.row_number().over(within([group]).orderBy(*order)) - 1 + F.col("__before")).cast("long")).drop("__before", BLOCK)

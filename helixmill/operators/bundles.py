@@ -118,6 +118,25 @@ def balance_report(weights: DataFrame, wanted: DataFrame) -> DataFrame:
     return out.withColumn("passed", F.when(F.col("status") == "PASS", True))
 
 
+def unknown_status(reports: DataFrame) -> DataFrame:
+    """Balance reports whose status is none that a balance can have; one without a status isn't assessed."""
+    return reports.where(~F.coalesce("status", F.lit("NOT_ASSESSED")).isin("PASS", "WARN", "NOT_ASSESSED"))
+
+
+def bootstrap_violations(values: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sample, broken) of wanted samples whose loops (sample, real, control) can't be resampled: none, unmatched, none finite."""
+    some = finite(F.col("real")) & finite(F.col("control"))
+    per = values.groupBy("sample").agg(F.count("*").alias("n"), F.count("real").alias("a"), F.count("control").alias("b"), F.count_if(some).alias("k"))
+    both = wanted.select("sample").join(per, "sample", "left").na.fill(0, ["n", "a", "b", "k"])
+    return violations(both, {"present": F.col("n") > 0, "matched": F.col("a") == F.col("b"), "finite": F.col("k") > 0}).select("sample", "broken")
+
+
+def unmatched_environments(wanted: DataFrame, captured: DataFrame) -> DataFrame:
+    """(name, n) of wanted environments (name, digest) that other than one installed capture (digest, installed) is equal to."""
+    n = captured.where("installed").groupBy("digest").agg(F.count("*").alias("n"))
+    return wanted.join(n, "digest", "left").select("name", F.coalesce("n", F.lit(0)).alias("n")).where("n <> 1")
+
+
 def unequal_places(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     """(place, side a, side b) where two tables, each with its rows numbered by place, differ in key or length."""
     one = lambda df, name: df.select("place", F.struct(*key).alias(name))

@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK, by_width, carry, within
+from .blocks import by_width, carry, numbered, within
 from .contracts import assert_empty
 
-NODE_BLOCK = 10_000_000
-
 
 def node_index(bins: DataFrame) -> DataFrame:
-    """bins (chrom, s, e) with a dense index from 0 in (chrom, s) order.
-
-    Ranks are taken within blocks of a chromosome and moved by the counts before them, so no
-    partition holds all; a block has one row of counts.
-    """
-    cut = by_width(bins, "s", NODE_BLOCK)
-    sizes = cut.groupBy("chrom", BLOCK).agg(F.count("*").alias("n"))
-    before = sizes.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("chrom", BLOCK).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    return cut.join(before, ["chrom", BLOCK]).withColumn("node", (F.row_number().over(within(["chrom"]).orderBy("s")) - 1 + F.col("offset")).cast("long")).drop("offset", BLOCK)
+    """bins (chrom, s, e) with a dense index from 0 in (chrom, s) order."""
+    return numbered(bins, "chrom", "s", 10_000_000, ["s"], "node")
 
 
 def loop_edges(loops: DataFrame, nodes: DataFrame, width: int) -> DataFrame:

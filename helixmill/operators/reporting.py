@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .contracts import ContractError, assert_empty, one_to_one
+from .contracts import ContractError, assert_empty, one_to_one, require_columns
 
 #: Flags that each kind of interaction asks of its two anchors.
 INTERACTIONS = ("Peak-to-Peak", "Peak-to-NonPeak", "Peak-to-ALL", "ALL-to-ALL")
@@ -45,6 +45,28 @@ def fails(value: Column, least: float | None = None, most: float | None = None)
     return F.coalesce(d.isNotNull() & ~F.isnan(d) & ((d < least) if most is None else (d > most)), F.lit(False))
 
 
+def gate_values(thresholds: dict[str, float]) -> dict[str, float]:
+    """The configured gates by the column that they are on; all three must be there, and the cis fraction becomes a percentage."""
+    need = {"valid_pair_yield_pct", "duplicate_pct_max", "cis_fraction_min"}
+    if missing := sorted(need - set(thresholds)):
+        raise ContractError(f"gates without a value: {missing}")
+    return {"yield_pct": float(thresholds["valid_pair_yield_pct"]), "dup_pct": float(thresholds["duplicate_pct_max"]), "cis_pct": 100.0 * float(thresholds["cis_fraction_min"])}
+
+
+def primary_libraries(libraries: DataFrame) -> DataFrame:
+    """Libraries of headline reports; a table without roles is an error."""
+    return require_columns(libraries, ["report_role"]).where("report_role = 'primary'")
+
+
+def json_scalars(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, attribute, json): attributes of any type as JSON text; bytes are read as UTF-8, what isn't is replaced."""
+    kinds = dict(rows.dtypes)
+    read = lambda c: F.make_valid_utf8(F.col(c).cast("string")) if kinds[c] == "binary" else F.col(c)
+    told = lambda c: F.regexp_extract(F.to_json(F.struct(read(c).alias("v")), {"ignoreNullFields": "false"}), r'(?s)^\{"v":(.*)\}$', 1)
+    long = rows.select(key, F.explode(F.array(*(F.struct(F.lit(c).alias("attribute"), told(c).alias("json")) for c in columns))).alias("x"))
+    return long.select(key, "x.*")
+
+
 def peak_flags(kind: str, first: Column, second: Column) -> dict[str, Column]:
     """Rules on the two anchors' peak flags for a kind of interaction."""
     if kind not in INTERACTIONS:

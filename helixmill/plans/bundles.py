@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..adapters import SQL, WIDTH, cte, table
 from ..functions import coords as fn
-from ..operators import aggregate_peaks, bundles, intervals, matrix
-from .contacts import _BASE, MIN_COUNT, MIN_SAMPLES, PRIMARY_SQL, eligible, pip03_universe, query
+from ..operators import aggregate_peaks, bundles, intervals, matrix, reporting
+from .contacts import _BASE, _keep, MIN_COUNT, MIN_SAMPLES, PRIMARY_SQL, eligible, pip03_universe, query
 from .rules import SAMPLES, _candidates
 from .tracks import _apa_loops, _one_sample
 from ..operators import universe
@@ -58,7 +58,7 @@ controls AS (SELECT chrom, start1, start2, CAST(draw AS INTEGER) AS draw, CAST(m
 
 
 def _controls(spark, d):
-    return aggregate_peaks.matched_controls(_apa_loops(spark, d).drop("loop_id"), _bin_table(spark, d), WIDTH, WIN, 1.5)
+    return aggregate_peaks.matched_controls(_apa_loops(spark, d).drop("loop_id"), _bin_table(spark, d), WIDTH, WIN, 1.5, keep=_keep(spark))
 
 
 @query(f"{_CONTROLS} SELECT * FROM controls")
@@ -76,11 +76,16 @@ def agg13_matched_ratio(spark, d):
     return v.agg(F.round(F.avg("real") / F.greatest(F.avg("control"), F.lit(1e-9)), 6).alias("ratio"), F.count("*").alias("n"))
 
 
-@query()
+@query(f"""{_CONTROLS}, mean AS (SELECT c.chrom, c.start1, c.start2, avg(coalesce(a.score, 0)) AS control FROM controls c LEFT JOIN all1 a ON a.chrom = c.chrom AND a.start1 = c1 AND a.start2 = c2 GROUP BY ALL),
+num AS MATERIALIZED (SELECT row_number() OVER (ORDER BY m.chrom, m.start1, m.start2) - 1 AS i, CAST(coalesce(a.score, 0) AS DOUBLE) AS real, control FROM mean m LEFT JOIN all1 a ON a.chrom = m.chrom AND a.start1 = m.start1 AND a.start2 = m.start2),
+draw AS (SELECT b, CAST('0x' || substr(md5(concat_ws('|', 42, b, i)), 1, 15) AS BIGINT) % (SELECT count(*) FROM num) AS i FROM num, (SELECT unnest(range(500)) AS b) x),
+boot AS (SELECT b, avg(real) / greatest(avg(control), 1e-9) AS r FROM draw JOIN num USING (i) GROUP BY b)
+SELECT round(avg(real) / greatest(avg(control), 1e-9), 6) AS ratio, count(*) AS n, (SELECT round(quantile_cont(r, 0.025), 6) FROM boot) AS low, (SELECT round(quantile_cont(r, 0.975), 6) FROM boot) AS high FROM num""")
 def pip09_matched_ratio(spark, d):
     """The same with a bootstrap interval."""
     v = aggregate_peaks.matched_values(_apa_loops(spark, d), _controls(spark, d), _one_sample(spark, d))
-    return aggregate_peaks.bootstrap_ratio(v.withColumn("loop_id", F.xxhash64("chrom", "start1", "start2")))
+    out = aggregate_peaks.bootstrap_ratio(_keep(spark)(v, "values"))
+    return out.select(F.round("ratio", 6).alias("ratio"), "n", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 # Replicates
@@ -314,9 +319,10 @@ _LIBRARY = f"{cte('qc')}, lib AS (SELECT sample, CASE WHEN sample % 10 = 3 THEN
 def pip15_library_panel(spark, d):
     """Primary libraries with the gates that they fail, and the panel's constants."""
     q = table(spark, d, "qc").select("sample", F.when(F.col("sample") % 10 == 3, "demonstration").otherwise("primary").alias("report_role"), "yield_pct", "dup_pct", (100 * F.col("cis_fraction")).alias("cis_pct"))
-    gates = {"valid_pair_yield_pct": 25.0, "duplicate_pct_max": 50.0, "cis_fraction_min": 0.7}
-    return q.where("report_role = 'primary'").withColumns({
-        "low_yield": F.col("yield_pct") < gates["valid_pair_yield_pct"], "high_dup": F.col("dup_pct") > gates["duplicate_pct_max"], "low_cis": F.col("cis_pct") < 100 * gates["cis_fraction_min"], "normalization": F.lit("ICE"), "resolution": F.lit(5000),
+    gates = reporting.gate_values({"valid_pair_yield_pct": 25.0, "duplicate_pct_max": 50.0, "cis_fraction_min": 0.7})
+    return reporting.primary_libraries(q).withColumns({
+        "low_yield": reporting.fails(F.col("yield_pct"), least=gates["yield_pct"]), "high_dup": reporting.fails(F.col("dup_pct"), most=gates["dup_pct"]),
+        "low_cis": reporting.fails(F.col("cis_pct"), least=gates["cis_pct"]), "normalization": F.lit("ICE"), "resolution": F.lit(5000),
     })
 
 
@@ -325,3 +331,37 @@ def flt26_balanced_values(spark, d):
     """Aggregate ratios that the report plots: of balanced matrices of primary libraries only."""
     q = table(spark, d, "qc").where("balance_status = 'PASS' and sample % 10 <> 3")
     return q.select("sample", (F.col("yield_pct") / 10).alias("apa"))
+
+
+@query(f"{cte('qc')} SELECT sample, replicate_status AS status FROM qc WHERE replicate_status IN ('FAIL', 'DISCORDANT')")
+def chk25_balance_status(spark, d):
+    """Reports whose status is none of a balance's."""
+    return bundles.unknown_status(table(spark, d, "qc").select("sample", F.col("replicate_status").alias("status")))
+
+
+_DRAWN = "dr AS (SELECT l_suppkey % 60 AS sample, CASE WHEN l_suppkey % 7 = 0 AND l_linenumber = 1 THEN NULL ELSE l_quantity END AS real, CASE WHEN l_suppkey % 5 = 0 THEN CAST('nan' AS DOUBLE) ELSE l_discount END AS control FROM {t})"
+
+
+@query(f"""WITH {_DRAWN.format(t='lineitem')}, p AS (SELECT sample, count(*) AS n, count(real) AS a, count(control) AS b, count(*) FILTER (real IS NOT NULL AND control IS NOT NULL AND NOT isnan(control)) AS k FROM dr GROUP BY sample),
+w AS (SELECT unnest(range(70)) AS sample), v AS (SELECT w.sample, concat_ws(',', CASE WHEN coalesce(k, 0) = 0 THEN 'finite' END, CASE WHEN a <> b THEN 'matched' END, CASE WHEN n IS NULL THEN 'present' END) AS broken FROM w LEFT JOIN p USING (sample)) SELECT * FROM v WHERE broken <> ''""")
+def chk28_bootstrap_inputs(spark, d):
+    """Samples whose loops and controls can't be resampled."""
+    values = spark.sql(f"WITH {_DRAWN.format(t='{lineitem}')} SELECT * FROM dr", lineitem=table(spark, d, "lineitem"))
+    return bundles.bootstrap_violations(values, spark.range(70).toDF("sample"))
+
+
+@query("""WITH n AS (SELECT md5(CAST(c_custkey % 40 AS VARCHAR)) AS digest, count(*) AS n FROM customer WHERE c_custkey % 40 > 5 AND (c_custkey > 40 OR c_custkey % 2 = 0) AND c_custkey < 60 GROUP BY ALL)
+SELECT s_name AS name, coalesce(n, 0) AS n FROM supplier LEFT JOIN n ON digest = md5(CAST(s_suppkey % 40 AS VARCHAR)) WHERE coalesce(n, 0) <> 1""")
+def chk29_environments(spark, d):
+    """Environments that other than one installed one is equal to."""
+    digest = lambda c: F.md5((F.col(c) % 40).cast("string").cast("binary")).alias("digest")
+    there = (F.col("c_custkey") % 40 > 5) & ((F.col("c_custkey") > 40) | (F.col("c_custkey") % 2 == 0)) & (F.col("c_custkey") < 60)
+    return bundles.unmatched_environments(table(spark, d, "supplier").select(F.col("s_name").alias("name"), digest("s_suppkey")), table(spark, d, "customer").select(digest("c_custkey"), there.alias("installed")))
+
+
+@query("""WITH o AS (SELECT o_orderkey, unnest([{'attribute': 'price', 'json': CAST(to_json(floor(o_totalprice) + 0.5) AS VARCHAR)}, {'attribute': 'status', 'json': CAST(to_json(o_orderstatus) AS VARCHAR)}, {'attribute': 'large', 'json': CAST(to_json(o_totalprice > 100000) AS VARCHAR)},
+{'attribute': 'gone', 'json': 'null'}, {'attribute': 'both', 'json': CAST(to_json([o_custkey, o_orderkey]) AS VARCHAR)}]) AS x FROM orders) SELECT o_orderkey, x.attribute, x.json FROM o""")
+def prj17_json_scalars(spark, d):
+    """Attributes of several types as JSON: numbers, bytes, truth values, null, lists."""
+    rows = table(spark, d, "orders").select("o_orderkey", (F.floor("o_totalprice") + F.lit(0.5).cast("double")).alias("price"), F.col("o_orderstatus").cast("binary").alias("status"), (F.col("o_totalprice") > 100000).alias("large"), F.lit(None).cast("string").alias("gone"), F.array("o_custkey", "o_orderkey").alias("both"))
+    return reporting.json_scalars(rows, "o_orderkey", ["price", "status", "large", "gone", "both"])

@@ -160,3 +160,23 @@ def snk08_empty_export(spark, d):
     """A table without rows is a header, and comes back with its columns and no rows."""
     sinks.write_text(table(spark, d, "chroms").where("size < 0").select("chrom", "size"), path := f"{_folder(spark)}/none.tsv.gz", ["chrom"])
     return readers.read_table(spark, path, ["chrom", "size"], allow_empty=True).select("chrom", F.col("size").cast("long").alias("size"))
+
+
+@query("SELECT sample, resolution, converged, variance FROM (SELECT c_name AS sample, CAST((c_custkey % 4 + 1) * 5000 AS BIGINT) AS resolution, CASE c_nationkey % 4 WHEN 0 THEN NULL WHEN 1 THEN false ELSE true END AS converged, CAST(c_nationkey AS DOUBLE) / 4 AS variance FROM customer) x")
+def src13_balance_attributes(spark, d):
+    """Attributes of weights by resolution, through the reports' JSON."""
+    converged = F.when(F.col("c_nationkey") % 4 == 1, False).when(F.col("c_nationkey") % 4 > 0, True)
+    rows = table(spark, d, "customer").select("c_name", ((F.col("c_custkey") % 4 + 1) * 5000).cast("string").alias("resolution"), converged.alias("converged"), (F.col("c_nationkey") / 4).alias("variance"))
+    reports = [{"sample": r["c_name"], "resolutions": {r["resolution"]: {"converged": r["converged"], "variance": r["variance"]}}} for r in rows.toLocalIterator()]  # a report for each library
+    sinks.write_json(reports, path := f"{_folder(spark)}/balance.json")
+    return readers.read_balance(spark, path)
+
+
+@query("SELECT unnest(['empty.txt', 'none.txt']) AS name")
+def chk27_required_files(spark, d):
+    """Files that aren't there or are empty."""
+    at = _folder(spark)
+    sinks.write_text(table(spark, d, "nation").select("n_name"), f"{at}/whole.txt", ["n_name"], packed=False)
+    sinks.write_text(table(spark, d, "nation").select("n_name").where("n_name is null"), f"{at}/empty.txt", ["n_name"], header=False, packed=False)
+    found = readers.missing_files(spark, [f"{at}/{name}.txt" for name in ("whole", "empty", "none")])
+    return spark.createDataFrame([(p.rpartition("/")[2],) for p in found], "name string")

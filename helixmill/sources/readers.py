@@ -21,14 +21,44 @@ ALIASES = {
 COORDS = ["chrom1", "start1", "end1", "chrom2", "start2", "end2"]
 
 
+def _files(spark: SparkSession, path: str):
+    """A path of the session's file systems, and its own."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _opens(spark: SparkSession, path: str, magic: bytes) -> bool:
+    """Whether the file begins so."""
+    p, files = _files(spark, path)
+    f = files.open(p)
+    try:
+        return all(f.read() == b for b in magic)
+    finally:
+        f.close()
+
+
+def missing_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the files that aren't there or have no bytes."""
+    def empty(path: str) -> bool:
+        p, files = _files(spark, path)
+        return not files.exists(p) or files.getFileStatus(p).isDirectory() or files.getFileStatus(p).getLen() == 0
+
+    return [path for path in paths if empty(path)]
+
+
+def require_files(spark: SparkSession, paths: list[str]) -> None:
+    if missing := missing_files(spark, paths):
+        raise ContractError(f"missing or empty files: {missing}")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(value): lines of text, unpacked where the first two bytes say gzip, whatever the name.
 
     Plain files stay splittable; only gzip files under another suffix are unpacked whole, one a task.
     """
-    heads = spark.read.format("binaryFile").load(path).select("path", F.hex(F.substring("content", 1, 2)).alias("magic"))
-    odd = [r["path"] for r in heads.where("magic = '1F8B' and not endswith(path, '.gz')").select("path").collect()]
-    plain = [r["path"] for r in heads.select("path").collect() if r["path"] not in odd]
+    paths = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]  # contents aren't read
+    odd = [p for p in paths if not p.endswith(".gz") and _opens(spark, p, b"\x1f\x8b")]
+    plain = sorted(set(paths) - set(odd))
     parts = []
     if plain:
         parts.append(spark.read.text(plain))
@@ -155,8 +185,14 @@ def read_trim_report(spark: SparkSession, path: str) -> tuple[int, int]:
     return s["a"] // 2, s["b"] // 2
 
 
-def read_json(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    return require_columns(spark.read.json(path, multiLine=True), required)
+def read_json(spark: SparkSession, path: str, required: list[str], schema: str | None = None) -> DataFrame:
+    return require_columns(spark.read.json(path, multiLine=True, schema=schema), required)
+
+
+def read_balance(spark: SparkSession, path: str) -> DataFrame:
+    """(sample, resolution, converged, variance) of balance reports, a row for each resolution that has weights."""
+    reports = read_json(spark, path, ["sample"], "sample string, resolutions map<string,struct<converged:boolean,variance:double>>")
+    return reports.select("sample", F.explode("resolutions").alias("k", "r")).select("sample", F.col("k").cast("long").alias("resolution"), "r.*")
 
 
 def read_table(spark: SparkSession, path: str, required: list[str], allow_empty: bool = False) -> DataFrame:

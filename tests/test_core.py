@@ -1,6 +1,7 @@
 """Core operators on worked examples."""
 
 import gzip
+import hashlib
 import json
 import random
 
@@ -198,8 +199,15 @@ def test_differential(spark):
 
 
 def test_bootstrap_and_balance(spark):
-    df = table(spark, [(1, 10.0, 5.0), (2, 20.0, 10.0), (3, 40.0, 20.0)], "loop_id long, real double, control double")
+    place = "chrom string, start1 long, start2 long, real double, control double"
+    df = table(spark, [("chr1", 0, 9, 10.0, 5.0), ("chr2", 0, 9, 20.0, 10.0), ("chr2", 5_000_000, 9, 40.0, 20.0), ("chr2", 5, 9, None, 1.0), ("chr2", 6, 9, 1.0, float("nan"))], place)
     assert tuple(aggregate_peaks.bootstrap_ratio(df, 200).first()) == pytest.approx((2.0, 3, 2.0, 2.0))
+    rng = np.random.default_rng(1)
+    real, control = rng.gamma(4.0, 2.0, 80), rng.gamma(3.0, 1.0, 80)
+    got = aggregate_peaks.bootstrap_ratio(table(spark, [("chr1", 5000 * i, 9, float(a), float(b)) for i, (a, b) in enumerate(zip(real, control, strict=True))], place)).first()
+    drawn = [[int(hashlib.md5(f"42|{b}|{i}".encode()).hexdigest()[:15], 16) % 80 for i in range(80)] for b in range(500)]
+    low, high = np.quantile([real[d].mean() / control[d].mean() for d in drawn], [0.025, 0.975])
+    assert tuple(got) == pytest.approx((real.mean() / control.mean(), 80, low, high))
     px = [(i, j, 5 + (i * 7 + j) % 11) for i in range(12) for j in range(i + 1, 12)]
     w, ok, _ = matrix.balance(table(spark, px, "bin1 int, bin2 int, count int"), ignore_diags=1, min_nnz=2, mad_max=50, tol=1e-6)
     weight = {r["bin_id"]: r["weight"] for r in w.collect()}
@@ -327,3 +335,22 @@ def test_library_without_the_training_data_subpackage(tmp_path):
             (tmp_path / "corpus_pipeline.py").write_text("from helixmill.llm.common import Scratch")
         done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
         assert done.returncode == 0, done.stderr
+
+
+def test_files_and_gates(spark, tmp_path):
+    (tmp_path / "empty").touch()
+    (tmp_path / "whole").write_text("a\nb\n")
+    (tmp_path / "packed").write_bytes(gzip.compress(b"c\n"))
+    paths = [str(tmp_path / n) for n in ("whole", "empty", "none", "packed")]
+    assert readers.missing_files(spark, [*paths, str(tmp_path)]) == [*paths[1:3], str(tmp_path)]
+    readers.require_files(spark, paths[:1])
+    with pytest.raises(contracts.ContractError, match="none"):
+        readers.require_files(spark, paths)
+    assert values(readers.read_lines(spark, str(tmp_path)), "value") == [("a",), ("b",), ("c",)]
+    assert reporting.gate_values({"valid_pair_yield_pct": 1, "duplicate_pct_max": 2, "cis_fraction_min": 0.5, "x": 0}) == {"yield_pct": 1.0, "dup_pct": 2.0, "cis_pct": 50.0}
+    with pytest.raises(contracts.ContractError, match="cis_fraction_min"):
+        reporting.gate_values({"valid_pair_yield_pct": 1, "duplicate_pct_max": 2})
+    with pytest.raises(contracts.ContractError, match="report_role"):
+        reporting.primary_libraries(table(spark, [(1,)], "a int"))
+    odd = table(spark, [(1, bytearray(b"a\xff\"}"), float("inf"), None)], "k int, raw binary, x double, none int")
+    assert values(reporting.json_scalars(odd, "k", ["raw", "x", "none"]), "attribute", "json") == [("none", "null"), ("raw", '"a\ufffd\\"}"'), ("x", '"Infinity"')]
