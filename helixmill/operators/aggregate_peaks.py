@@ -69,6 +69,7 @@ def matched_controls(loops: DataFrame, bins: DataFrame, width: int, win: int, lo
     lo = (win + 1) * width
     side = lambda c, p: bins.select("chrom", F.col("s").alias(c), *(F.col(x).alias(f"{p}_{x}") for x in ("total", "anchor", "blocked", "size")))
     known = keep(loops.join(side("start1", "r1"), ["chrom", "start1"]).join(side("start2", "r2"), ["chrom", "start2"]).where("r1_anchor or r2_anchor"), "known")
+    parts = int(bins.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     todo = known.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
     key = F.md5(F.concat_ws("|", F.lit(seed), "chrom", "start1", "start2", "draw", "attempt").cast("binary"))
     number = lambda at, n: F.conv(F.substring(key, at, n), 16, 10).cast("long")
@@ -76,7 +77,8 @@ def matched_controls(loops: DataFrame, bins: DataFrame, width: int, win: int, lo
     near = lambda a, b: (F.col(a) > 0) & (F.col(b) > 0) & (F.abs(F.log2(F.col(a) / F.col(b))) <= log2_tol)
 
     def fits(rows: DataFrame, a: int, b: int) -> DataFrame:
-        tries = rows.withColumn("attempt", F.explode(F.sequence(F.lit(a), F.lit(b - 1)))).withColumn("shift", shift)
+        spread = rows.repartition(parts, F.xxhash64("chrom", "start1", "start2", "draw"))  # few rows become many: tasks by a number, not by bytes, and not those of the join before
+        tries = spread.withColumn("attempt", F.explode(F.sequence(F.lit(a), F.lit(b - 1)))).withColumn("shift", F.explode(F.array(shift)))  # generated, so that later filters don't hash again
         tries = tries.withColumns({"c1": F.col("start1") + F.col("shift"), "c2": F.col("start2") + F.col("shift")})
         tries = tries.where((F.least("c1", "c2") >= win * width) & (F.greatest("c1", "c2") + (win + 1) * width <= F.col("r1_size")))
         for c, p in (("c1", "k1"), ("c2", "k2")):
