@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import give_back, path_exists, shared_folder, small_batches, text_slices
+from .common import Scratch, filter_bits, give_back, key_bitmap, path_exists, shared_folder, small_batches, text_slices, with_maybe
 
 CACHE_SCHEMA = "digest string, n_tokens long"
 #: Up to so many missing digests (64 bytes each) are broadcast to keep texts with stored counts out of the shuffle.
@@ -51,13 +51,22 @@ def token_counts(
     else:
         few = 1
     if few:
-        once = wanted.groupBy("digest").agg(F.first("t").alias("t"))  # copies meet within a task first
-        once.mapInArrow(_counter(spark.sparkContext.broadcast(model)), CACHE_SCHEMA).write.mode("append").parquet(path)
+        _once(wanted, Scratch(spark)).mapInArrow(_counter(spark.sparkContext.broadcast(model)), CACHE_SCHEMA).write.mode("append").parquet(path)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(path).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     compact = keyed.select(id_col, "digest", F.octet_length("t").cast("long").alias("n_bytes"))
     return compact.join(counts, "digest").select(id_col, "n_bytes", "n_tokens")
 
 
+def _once(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Each distinct text of texts (digest, t) once. Digests move; a text does only where a filter of the repeated ones can't tell it from them."""
+    twice = scratch.table(texts.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest"), "twice")
+    one = lambda df: df.groupBy("digest").agg(F.first("t").alias("t"))  # noqa: E731  copies meet within a task first
+    if (bits := filter_bits(twice.count())) is None:
+        return one(texts)
+    marked = with_maybe(texts, "digest", scratch.table(key_bitmap(twice, "digest", bits), "twice-bits"), bits, "bm_maybe")
+    return marked.where("not bm_maybe").select("digest", "t").unionByName(one(marked.where("bm_maybe")))
+
+
 def _counter(model):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
