@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from ..adapters import SQL, WIDTH, cte, table
 from ..functions import coords as fn
-from ..operators import aggregate_peaks, bundles, intervals, matrix, reporting
-from .contacts import _BASE, _keep, MIN_COUNT, MIN_SAMPLES, PRIMARY_SQL, eligible, pip03_universe, query
+from ..operators import aggregate_peaks, bundles, matrix, reporting
+from .contacts import _BASE, MIN_COUNT, MIN_SAMPLES, PRIMARY_SQL, _keep, pip03_universe, query
 from .rules import SAMPLES, _candidates
 from .tracks import _apa_loops, _one_sample
-from ..operators import universe
 
 WIN = 5
 
