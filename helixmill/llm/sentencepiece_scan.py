@@ -339,13 +339,16 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
 
     def over_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (row, _), group in groupby(_rows(batches), lambda r: (r["row"], r["part"])):
-            group = list(group)
-            at = states_between([_matrix(r) for r in group], group[0]["a"], group[0]["b"])
+            ends, *group = group
+            at = states_between([_matrix(r) for r in group], ends["a"], ends["b"])
             yield _batch(_kind("row long, chunk long, entry int, exit int"), [{"row": row, "chunk": r["chunk"], "entry": a, "exit": b} for r, a, b in zip(group, at, at[1:], strict=False)])
 
     parts = matrices.repartition("row", "part").sortWithinPartitions("row", "part", "chunk").mapInArrow(product, f"row long, part long, {PACKED}")
     ends = parts.repartition("row").sortWithinPartitions("row", "part").mapInArrow(over_parts, "row long, part long, a int, b int")
-    ways = matrices.join(ends, ["row", "part"]).repartition("row", "part").sortWithinPartitions("row", "part", "chunk").mapInArrow(over_chunks, "row long, chunk long, entry int, exit int")
+    # A part's ends stand before its chunks (null comes first). Not by a join: its shuffle would stand for the repartition
+    # by the same keys, and where it turns into a broadcast join later, tasks read that shuffle by files and get parts of parts.
+    begun = matrices.unionByName(ends, allowMissingColumns=True)
+    ways = begun.repartition("row", "part").sortWithinPartitions("row", "part", "chunk").mapInArrow(over_chunks, "row long, chunk long, entry int, exit int")
 
     # A chunk's way stands before the chunk; each is traced by itself.
     result = f"id {kind}, text_sha256 string, ids array<int>"

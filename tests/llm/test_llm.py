@@ -252,6 +252,24 @@ def test_long_texts_at_the_production_chunk_size(spark, model):
     check_round_trip(spark, model, rows, sps.CHUNK_CHARS)
 
 
+def test_parts_stay_whole_where_a_join_turns_adaptive(spark, model):
+    """As on large tables: the matrices are too many to broadcast, the parts' ends turn out to be few."""
+    rng = random.Random(1)
+    rows = [(k, " ".join(rng.choice(["alpha", "beta", "gammadelta", "12", "é"]) for _ in range(rng.randint(200, 3000)))) for k in range(60)]
+    large = {
+        "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "30KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "20KB", "spark.sql.files.openCostInBytes": "1",
+    }
+    before = {k: spark.conf.get(k, None) for k in large}
+    try:
+        for k, v in large.items():
+            spark.conf.set(k, v)
+        check_round_trip(spark, model, rows, 64)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def check_round_trip(spark, model, rows, chunk_chars):
     m = sps.PieceModel(model)
     got = sps.sp_decode(sps.sp_encode(docs(spark, rows), model, chunk_chars=chunk_chars), model).collect()
