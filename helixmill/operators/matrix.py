@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import rolls
 from ..functions.coords import replicate_status
 
 
@@ -149,10 +150,18 @@ def balance_each(pixels: DataFrame, by: str, ignore_diags: int = 2, min_nnz: int
 UNSCORED = -2.0
 
 
-def thinned(score: Column, key: Column, keep: Column) -> Column:
-    """How many of a pixel's contacts stay when each does with probability keep / 2^32, by a hash of the pixel's key and the contact."""
-    roll = lambda i: F.conv(F.substring(F.md5(F.concat_ws("|", key, i.cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
-    return F.when(keep >= 1 << 32, score).otherwise(F.size(F.filter(F.sequence(F.lit(1).cast("long"), score), lambda i: roll(i) < keep)).cast("long"))
+def thinned(pixels: DataFrame, key: Column) -> DataFrame:
+    """pixels (..., v, keep) with v the contacts that stay when each does with probability keep / 2^32, by a hash of the pixel's key and the contact; pixels without any are left out.
+
+    A pixel's contacts are hashed in blocks, dealt out by a number of tasks: few pixels can hold most contacts.
+    """
+    names = [c for c in pixels.columns if c not in ("v", "keep")]
+    kind = pixels.select(*names).schema.simpleString().removeprefix("struct<").removesuffix(">")
+    parts = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = pixels.where((F.col("keep") < 1 << 32) & (F.col("v") > 0)).withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), "v", F.lit(rolls.ROLLS).cast("long"))))
+    cut = cut.select(*names, key.alias("key"), "first", F.least("v", F.col("first") + (rolls.ROLLS - 1)).alias("last"), F.col("keep").alias("limit"))
+    found = cut.repartition(parts, F.xxhash64("key", "first")).mapInArrow(rolls.kept, f"{kind}, v long").groupBy(*names).agg(F.sum("v").alias("v"))
+    return pixels.where(F.col("keep") >= 1 << 32).select(*names, "v").unionByName(found).where("v > 0")
 
 
 def concordance(contacts: DataFrame, pairs: DataFrame, sizes: DataFrame, width: int, h: int, max_dist: int) -> DataFrame:
@@ -170,8 +179,10 @@ def concordance(contacts: DataFrame, pairs: DataFrame, sizes: DataFrame, width:
     depth = pairs.select("a", "b", side).select("a", "b", "side.*").join(total, "sample").join(total.toDF("other", "chrom", "other_total"), ["other", "chrom"])
     limit = F.floor(F.least("total", "other_total") * F.lit(1 << 32).cast("decimal(20,0)") / F.col("total")).cast("long")
     px = pos.join(depth.select("a", "b", "sample", "chrom", limit.alias("keep")), ["sample", "chrom"])
-    px = px.withColumn("v", thinned(F.col("v"), F.concat_ws("|", "a", "b", "chrom", "x", "y"), F.col("keep"))).where("v > 0")
-    both = px.select("a", "b", "sample", "chrom", "x", "y", "v").unionByName(px.where("x <> y").select("a", "b", "sample", "chrom", F.col("y").alias("x"), F.col("x").alias("y"), "v"))
+    px = thinned(px.select("a", "b", "sample", "chrom", "x", "y", "v", "keep"), F.concat_ws("|", "a", "b", "chrom", "x", "y"))
+    way = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ways = F.explode(F.when(F.col("x") == F.col("y"), F.array(way("x", "y"))).otherwise(F.array(way("x", "y"), way("y", "x")))).alias("way")  # not a union, which would thin twice
+    both = px.select("a", "b", "sample", "chrom", "v", ways).select("a", "b", "sample", "chrom", "way.*", "v")
     off = lambda: F.explode(F.sequence(F.lit(-h), F.lit(h)))
     near = both.withColumn("i", off()).withColumn("j", off()).select("a", "b", "sample", "chrom", (F.col("x") + F.col("i")).alias("x"), (F.col("y") + F.col("j")).alias("y"), "v")
     inside = near.withColumn("d", F.col("y") - F.col("x")).where((F.col("d") >= 1) & (F.col("d") <= max_dist // width) & (F.col("x") >= 0))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from helixmill import catalog
 from helixmill.functions import coords as fn
+from helixmill.functions import rolls
 from helixmill.operators import aggregate_peaks, contracts, differential, graph, intervals, matching, matrix, reporting, universe
 from helixmill.sources import readers, sinks
 
@@ -354,3 +355,18 @@ def test_files_and_gates(spark, tmp_path):
         reporting.primary_libraries(table(spark, [(1,)], "a int"))
     odd = table(spark, [(1, bytearray(b"a\xff\"}"), float("inf"), None)], "k int, raw binary, x double, none int")
     assert values(reporting.json_scalars(odd, "k", ["raw", "x", "none"]), "attribute", "json") == [("none", "null"), ("raw", '"a\ufffd\\"}"'), ("x", '"Infinity"')]
+
+
+def test_rolls_are_md5s_first_bits():
+    keys, first, last = [b"s0|s1|chr1|0|3", b"s0|s1|chr11|10|13", b"x" * 70, b"", b"s0|s1|chr1|0|4"], [1, 95, 999_990, 1, 5], [2000, 1100, 1_000_030, 12, 4]
+    limit = np.array([1 << 31, 3_000_000_000, (1 << 32) - 1, 1 << 30, 1 << 31])
+    want = [sum(int(hashlib.md5(k + f"|{i}".encode()).hexdigest()[:8], 16) < m for i in range(a, b + 1)) for k, a, b, m in zip(keys, first, last, limit.tolist(), strict=True)]
+    assert rolls.count_below(keys, first, last, limit).tolist() == want
+
+
+def test_deep_pixels_are_thinned_once_and_by_many_tasks(spark):
+    rows = [("p", 1, 100_000, 1 << 30), ("p", 2, 7, 1 << 32), ("q", 3, 0, 5), ("q", 4, 3, 0)]
+    px = spark.createDataFrame(rows, "name string, x int, v long, keep long")
+    got = {r["x"]: r["v"] for r in matrix.thinned(px, F.concat_ws("|", "name", "x")).collect()}
+    want = sum(hashlib.md5(f"p|1|{i}".encode()).digest()[:4] < bytes([64, 0, 0, 0]) for i in range(1, 100_001))
+    assert got == {1: want, 2: 7}
