@@ -370,3 +370,15 @@ def test_deep_pixels_are_thinned_once_and_by_many_tasks(spark):
     got = {r["x"]: r["v"] for r in matrix.thinned(px, F.concat_ws("|", "name", "x")).collect()}
     want = sum(hashlib.md5(f"p|1|{i}".encode()).digest()[:4] < bytes([64, 0, 0, 0]) for i in range(1, 100_001))
     assert got == {1: want, 2: 7}
+
+
+def test_replicates_report_of_deep_contacts(spark):
+    """Six pixels of 400,000 contacts each against a shallow sample: work for all tasks, hashed once."""
+    cells = [("chr1", 25_000 * k, 25_000 * (k + 2)) for k in range(6)]
+    contacts = spark.createDataFrame([(s, *c, n + k) for s, n in (("a", 400_000), ("b", 1_000)) for k, c in enumerate(cells)], "sample string, chrom string, start1 long, start2 long, score long")
+    pairs, sizes = spark.createDataFrame([("a", "b")], "a string, b string"), spark.createDataFrame([("chr1", 352_000)], "chrom string, size long")
+    scc = matrix.concordance(contacts, pairs, sizes, 25_000, 1, 5_000_000)
+    plan = scc._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    report = {r["sample"]: r for r in matrix.replicate_report(scc, contacts.groupBy("sample").agg(F.sum("score").alias("contacts")), 0.3, 1000).collect()}
+    assert report["a"]["contacts"] == 2_400_015 and report["a"]["n_pairs"] == report["b"]["n_pairs"] == 1
