@@ -158,8 +158,8 @@ def thinned(pixels: DataFrame, key: Column) -> DataFrame:
     names = [c for c in pixels.columns if c not in ("v", "keep")]
     kind = pixels.select(*names).schema.simpleString().removeprefix("struct<").removesuffix(">")
     parts = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = pixels.where((F.col("keep") < 1 << 32) & (F.col("v") > 0)).withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), "v", F.lit(rolls.ROLLS).cast("long"))))
-    cut = cut.select(*names, key.alias("key"), "first", F.least("v", F.col("first") + (rolls.ROLLS - 1)).alias("last"), F.col("keep").alias("limit"))
+    cut = pixels.where((F.col("keep") < 1 << 32) & (F.col("v") > 0)).withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), "v", F.lit(rolls.ROLLS).cast("long"))))
+    cut = cut.select(*names, key.alias("key"), F.greatest("at", F.lit(1)).alias("first"), F.least("v", F.col("at") + (rolls.ROLLS - 1)).alias("last"), F.col("keep").alias("limit"))
     found = cut.repartition(parts, F.xxhash64("key", "first")).mapInArrow(rolls.kept, f"{kind}, v long").groupBy(*names).agg(F.sum("v").alias("v"))
     return pixels.where(F.col("keep") >= 1 << 32).select(*names, "v").unionByName(found).where("v > 0")
 

@@ -103,8 +103,10 @@ scc AS (SELECT a, b, e.chrom, coalesce(s, -2.0) AS scc FROM (SELECT DISTINCT a,
 
 
 def _scc(spark, d):
-    use = table(spark, d, "contacts").where(fn.primary(F.col("chrom")) & (F.col("chrom") != "chrX"))
-    pairs = spark.createDataFrame([(a, b) for a in SAMPLES for b in SAMPLES if a < b], "a string, b string")
+    """Contacts of the autosomes on the concordance's grid, written once for all that read them, and the concordance."""
+    grid = _keep(spark)(matrix.coarsen(table(spark, d, "contacts"), 25_000, ["sample", "chrom"], "score"), "grid")
+    use = grid.where(fn.primary(F.col("chrom")) & (F.col("chrom") != "chrX"))  # after the sums: a test of a chromosome, not of a contact
+    pairs = spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{a}', '{b}')" for a in SAMPLES for b in SAMPLES if a < b) + " AS t(a, b)")
     return use, matrix.concordance(use, pairs, table(spark, d, "chroms"), 25_000, 1, 5_000_000)
 
 

@@ -384,6 +384,26 @@ def test_replicates_report_of_deep_contacts(spark):
     assert report["a"]["contacts"] == 2_400_015 and report["a"]["n_pairs"] == report["b"]["n_pairs"] == 1
 
 
+def test_runs_of_rolls_are_md5s_first_bits():
+    """Runs that share all but their last digits: keys of all places in a word, digits over the end of a block, ends of runs."""
+    for n in (0, 16, 17, 18, 19, 45, 46, 47, 48, 49, 50, 51, 60, 110):
+        for first, last in ((3, 9_999), (9_990, 14_400), (20_000, 24_999), (95_000, 104_999)):
+            key, limit = b"k" * n, 3_000_000_000
+            want = sum(int.from_bytes(hashlib.md5(key + b"|%d" % i).digest()[:4]) < limit for i in range(first, last + 1))
+            assert rolls.count_below([key], [first], [last], np.array([limit])).tolist() == [want]
+    assert rolls.run_below(b"s0|s1|chr1|0|3", 1_075_000, 1_099_999, 1 << 31) == sum(hashlib.md5(b"s0|s1|chr1|0|3|%d" % i).digest()[0] < 128 for i in range(1_075_000, 1_100_000))
+
+
+def test_replicates_report_reads_contacts_once(spark, tmp_path):
+    """What the report needs of the contacts is written once: four readers of it, none of the table."""
+    rows = [(k, k * 7, k * 3, k % 7 + 1, 20.0 + k % 9) for k in range(20_000)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    report = catalog.QUERIES["pip10_replicate_report"](spark, str(tmp_path))
+    assert "FileScan" not in report._jdf.queryExecution().executedPlan().toString()
+    want = spark.read.parquet(f"{tmp_path}/lineitem.parquet").where("(l_suppkey + l_partkey) % 25 < 22").groupBy(F.concat(F.lit("s"), F.col("l_linenumber") % 4).alias("s")).agg(F.sum("l_quantity").cast("long"))
+    assert {r["sample"]: r["contacts"] for r in report.collect()} == dict(map(tuple, want.collect()))
+
+
 def test_report_payload_by_records(spark, tmp_path):
     """One record a line; the reader's schema has no field for each key, and what is no record isn't passed over."""
     rows = [(k, k / 3, f'a "b"\n{k}' if k % 5 else None) for k in range(3000)]
