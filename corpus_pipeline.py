@@ -9,7 +9,7 @@ from helixmill.llm.common import Scratch, without
 from helixmill.llm.decontaminate import with_matches
 from helixmill.llm.exact_dedup import exact_dedup
 from helixmill.llm.quality_knn import quality_classifier
-from helixmill.llm.sentencepiece_scan import SPACE, default_model, sp_decode, sp_encode
+from helixmill.llm.sentencepiece_scan import SPACE, default_model, sp_encode
 from helixmill.llm.setsketch import near_duplicates
 
 #: Two models and an iteration: SQL can't express it.
@@ -66,7 +66,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and whether they decode to the text (a literal U+2581 counts as a space)."""
     model = default_model()
     plain = docs.select("doc_id", F.replace(F.coalesce("text", F.lit("")), F.lit(SPACE), F.lit(" ")).alias("text"))
-    out = sp_decode(sp_encode(plain, model), model)
+    out = sp_encode(plain, model, with_decoded=True)
     same = F.sha2(F.col("decoded").cast("binary"), 256) == F.col("text_sha256")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

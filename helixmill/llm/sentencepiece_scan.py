@@ -261,31 +261,60 @@ def _kind(ddl: str) -> pa.Schema:
     return pa.schema([(c.split()[0], known[c.split()[1]]) for c in ddl.split(", ")])
 
 
-def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """One row per row of docs: id, text_sha256 (of the whole text), ids.
+def decoded(ids: pa.ListArray, pieces: pa.Array) -> pa.StringArray:
+    """The text of each list of ids, without the added leading space; few lists are Python objects at a time."""
+    out = []
+    lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    for lo, n in runs(lengths, SLICE, SLICE_BYTES):
+        part, sizes = ids.slice(lo, n), lengths[lo : lo + n]
+        taken = pieces.take(part.flatten())
+        ends = np.frombuffer(taken.buffers()[1], np.int32, len(taken) + 1, taken.offset * 4)[np.concatenate([[0], np.cumsum(sizes)])]
+        whole = taken.buffers()[2]
+        whole = whole.to_pybytes() if whole else b""
+        out.append(pa.array([whole[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends, ends[1:], strict=False)], pa.string()))
+    return pa.concat_arrays(out) if out else pa.array([], pa.string())
+
+
+def sp_encode(
+    docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", chunk_chars: int = CHUNK_CHARS, with_decoded: bool = False,
+) -> DataFrame:
+    """One row per row of docs: id, text_sha256 (of the whole text), ids; with_decoded: and what sp_decode adds.
 
     The ids are the library's for the whole text, without begin or end. Null text counts as
     empty and has no ids. Repeated rows give repeated rows. An empty table gives no rows.
     A text's chunks are spread over all tasks; its ids, one value of the result, meet in one.
+    Decoded here, ids are decoded from themselves in the worker that made them: sp_decode
+    behind sp_encode takes a second Python worker a task, and executors keep such workers.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     scratch = Scratch(spark)
     get = _load(spark.sparkContext.broadcast(model))
+    shared = spark.sparkContext.broadcast(piece_bytes(model)) if with_decoded else None
+    result_names = ["id", "text_sha256", "ids", *["decoded"] * with_decoded]
+
+    def rows_of(pieces: pa.Array | None, ident: pa.Array, sha: pa.Array, ids: pa.ListArray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ident, sha, ids, *([] if pieces is None else [decoded(ids, pieces)])], result_names)
+
+    def get_pieces() -> pa.Array | None:
+        return pa.array(shared.value, pa.binary()) if shared else None
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("t"), F.sha2(text.cast("binary"), 256).alias("sha"))
     giant = F.octet_length("t") > chunk_chars  # at least as many as characters: a short one is a scan of one chunk
 
+    result = f"id {kind}, text_sha256 string, ids array<int>" + ", decoded string" * with_decoded
+
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = get_pieces()
         for batch in batches:
             for lo, n in text_slices(batch.column("t"), SLICE, SLICE_BYTES):
                 part = batch.slice(lo, n)
-                ids = [get().encode(t) for t in part.column("t").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("sha"), pa.array(ids, pa.list_(pa.int32()))], ["id", "text_sha256", "ids"])
+                ids = pa.array([get().encode(t) for t in part.column("t").to_pylist()], pa.list_(pa.int32()))
+                yield rows_of(pieces, part.column("id"), part.column("sha"), ids)
             give_back()
 
-    small = base.where(~giant).mapInArrow(whole, f"id {kind}, text_sha256 string, ids array<int>")
+    small = base.where(~giant).mapInArrow(whole, result)
 
     cuts = "row long, chunk long, s string, base long, lo long, hi long, end long"
     named = f"id {kind}, sha string"
@@ -351,15 +380,15 @@ def sp_encode(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     ways = begun.repartition("row", "part").sortWithinPartitions("row", "part", "chunk").mapInArrow(over_chunks, "row long, chunk long, entry int, exit int")
 
     # A chunk's way stands before the chunk; each is traced by itself.
-    result = f"id {kind}, text_sha256 string, ids array<int>"
     ready = local.drop("rows", "cols", "cells").unionByName(ways, allowMissingColumns=True).repartition("row").sortWithinPartitions("row", "chunk", F.col("entry").isNull())
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done, name, way = [], None, None
+        done, name, way, pieces = [], None, None, get_pieces()
 
         def flush() -> pa.RecordBatch:
             ids = pa.ListArray.from_arrays(np.array([0, sum(map(len, done))], np.int32), np.concatenate(done) if done else np.zeros(0, np.int32))
-            return pa.RecordBatch.from_arrays([*name, ids], ["id", "text_sha256", "ids"])
+            done.clear()
+            return rows_of(pieces, *name, ids)
 
         for batch in batches:
             for k, r in enumerate(_rows([batch.drop_columns(["middle"])])):
@@ -390,17 +419,9 @@ def sp_decode(tokens: DataFrame, model: bytes) -> DataFrame:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = pa.array(shared.value, pa.binary())
         for ids in batches:
-            out = []
-            lengths = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for lo, n in runs(lengths, SLICE, SLICE_BYTES):
-                part, sizes = ids.slice(lo, n), lengths[lo : lo + n]
-                taken = pieces.take(part.flatten())
-                ends = np.frombuffer(taken.buffers()[1], np.int32, len(taken) + 1, taken.offset * 4)[np.concatenate([[0], np.cumsum(sizes)])]
-                whole = taken.buffers()[2]
-                whole = whole.to_pybytes() if whole else b""
-                out.append(pa.array([whole[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends, ends[1:], strict=False)], pa.string()))
+            out = decoded(ids, pieces)
             give_back()
-            yield pa.concat_arrays(out) if out else pa.array([], pa.string())
+            yield out
 
     return tokens.withColumn("decoded", decode("ids"))
 

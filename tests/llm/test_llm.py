@@ -270,6 +270,38 @@ def test_parts_stay_whole_where_a_join_turns_adaptive(spark, model):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def python_nodes_at_once(plan: str) -> int:
+    """The most Python nodes on one way down a physical plan without an exchange between: so many workers a task has."""
+    most, above = 0, []  # (depth, nodes so far on the way) of each ancestor
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        while above and above[-1][0] >= depth:
+            above.pop()
+        node = line.lstrip(" :+-*")
+        n = 0 if "Exchange" in node.split(" ")[0] else (above[-1][1] if above else 0) + ("Python" in node.split(" ")[0] or "InArrow" in node.split(" ")[0])
+        above.append((depth, n))
+        most = max(most, n)
+    return most
+
+
+def test_pipeline_tokens_have_one_python_worker_a_task(spark, model, tmp_path):
+    """Executors keep workers that idle: with two a task, four workers stood beside a full heap."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    long = " ".join(rng.choice(["alpha", "beta\n", "Über", "中文", "x▁y"]) for _ in range(9000))
+    rows = [*AWKWARD[:8], (9, long), (9, long), (None, long + "!"), (10, "a▁b")]
+    frame = corpus_pipeline.tokens(spark, docs(spark, rows), str(tmp_path))
+    assert python_nodes_at_once(frame._jdf.queryExecution().executedPlan().toString()) == 1
+    m = sps.PieceModel(model)
+    want = sorted(((i, len(ids := m.sp.encode((t or "").replace("▁", " "))), ids, True) for i, t in rows), key=str)
+    assert sorted((tuple(r) for r in frame.select("doc_id", "n_tokens", "ids", "round_trip").collect()), key=str) == want
+    both = sps.sp_encode(docs(spark, rows), model, chunk_chars=257, with_decoded=True)
+    after = sps.sp_decode(sps.sp_encode(docs(spark, rows), model, chunk_chars=257), model)
+    assert both.columns == after.columns and sorted(map(str, both.collect())) == sorted(map(str, after.collect()))
+    assert sps.sp_encode(docs(spark, []), model, with_decoded=True).count() == 0
+
+
 def check_round_trip(spark, model, rows, chunk_chars):
     m = sps.PieceModel(model)
     got = sps.sp_decode(sps.sp_encode(docs(spark, rows), model, chunk_chars=chunk_chars), model).collect()
